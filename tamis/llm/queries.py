@@ -49,8 +49,20 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(_table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.leaks import leaked
+
+    return leaked(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.residue import residue
+
+    return residue(_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids)}
+    return {f.__name__: f for f in (p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
 
 
 #: A contributor's spelling in SQL, for the pairs of the test tables.
