@@ -13,6 +13,12 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.answers import defective
+
+    return defective(_table(spark, d, "pairs"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from tamis.llm.handwritten import not_handwritten
 
@@ -62,7 +68,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
 
 
 #: A contributor's spelling in SQL, for the pairs of the test tables.
