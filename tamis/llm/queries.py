@@ -19,6 +19,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return defective(_table(spark, d, "pairs"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.secrets import found_lines
+
+    return found_lines(_table(spark, d, "documents_raw"), _table(spark, d, "pairs"))
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.secrets import redacted
+
+    return redacted(_table(spark, d, "documents_raw"), _table(spark, d, "pairs"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from tamis.llm.handwritten import not_handwritten
 
@@ -68,7 +80,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_redacted, p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
 
 
 #: A contributor's spelling in SQL, for the pairs of the test tables.
