@@ -55,6 +55,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return over_cap(_table(spark, d, "pairs"), _table(spark, d, "judge_results"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.overlap import cross_split
+
+    return cross_split(_table(spark, d, "pairs"))
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    from tamis.llm.overlap import overlap_report
+
+    return overlap_report(_table(spark, d, "pairs"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from tamis.llm.licences import licence_of_all
 
@@ -80,7 +92,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_redacted, p3_found, p4_found, p4_splits, p5_found, p7_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_redacted, p3_found, p4_found, p4_splits, p5_found, p6_found, p6_report, p7_found, p8_ids, p9_found, p10_found)}
 
 
 #: A contributor's spelling in SQL, for the pairs of the test tables.

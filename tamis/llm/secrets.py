@@ -44,7 +44,7 @@ RE_QUOTED = re.compile(rf"(?<![A-Za-z0-9_.-])(?P<nq>[\"'`])?(?P<n>{NAME})(?(nq)(
 RE_BARE = re.compile(rf"^[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+)?(?P<n>{NAME})[ \t]*[:=][ \t]*(?P<v>[^\s\"'`#({{\[<][^\s\"'`]{{3,400}})[ \t]*(?:#.*)?\r?$", re.I | re.M)
 #: In comments and prose.
 RE_SAYS = re.compile(
-    r"\b(?:password|passwd|passphrase|pass|pwd|secret|token|key|credentials?)\b(?:\s+(?:is|was|are|for \S+ is|to use is|set to))?\s*[:=]?\s+(?!(?:password|passwd|passphrase|pass|pwd|secret|token|key|is|was|and|or)\b)[\"'`]?(?P<v>[^\s\"'`,;()]{7,200})"
+    r"\b(?:password|passwd|passphrase|pass|pwd|secret|token|key|credentials?)\b(?:[ \t]+(?:is|was|are|for \S+ is|to use is|set to))?[ \t]*[:=]?[ \t]+(?!(?:password|passwd|passphrase|pass|pwd|secret|token|key|is|was|and|or)\b)[\"'`]?(?P<v>[^\s\"'`,;()]{7,200})"
     r"|\blog ?in\b[^\n]{0,60}?[:=]\s*\S{1,60}\s*/\s*(?P<v2>[^\s\"'`,;]{7,200})|(?:^|\s)-u\s+[\"']?[^\s:\"']{1,60}:(?P<v3>[^\s\"'`]{6,200})|(?:^|\s)(?:--password|--pass|--token|--api-key)(?:=|\s+)[\"']?(?P<v4>[^\s\"'`]{7,200})|\b(?:mysql\w*|mariadb|sshpass|redis-cli)\b[^\n]{0,120}?\s-[pa]\s?(?P<v5>[^\s\"'`-][^\s\"'`]{5,200})",
     re.I,
 )
