@@ -40,9 +40,13 @@ def word_list(c: Column) -> Column:
 
 def shingles(c: Column, n: int = 5) -> Column:
     """Distinct word n-grams; a shorter text is one shingle, a text without words has none."""
-    w = word_list(c)
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, F.array_distinct(grams)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+
+    def grams(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, F.array_distinct(each)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+
+    # The list is bound to a variable, else each gram would split the text again.
+    return F.element_at(F.transform(F.array(word_list(c)), grams), 1)
 
 
 def truncate_lines(c: Column, n: int = 8000) -> Column:

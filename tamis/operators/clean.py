@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tamis.functions import text as T
 from tamis.functions.redact import scrub
 from tamis.operators.minhash import greedy_near_duplicates
+from tamis.plans.runtime import cut
 
 #: Licences that a document may carry.
 LICENSES = ["MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause-Clear", "ISC", "0BSD", "Unlicense", "Zlib", "MPL-2.0", "BSL-1.0", "PostgreSQL", "CC0-1.0", "WTFPL"]
@@ -87,6 +88,8 @@ def clean(docs: DataFrame, order: str = "ord", o: CleanOptions = CleanOptions(),
     out = exact_marked(filtered(docs, o, content, license_), order, content)
     if o.near_threshold > 1:
         return out
+    # Redacted texts are used twice from here on; they are written once.
+    out = cut(out)
     live = out.where("drop_reason is null")
     if o.near_threshold <= 0:
         first = live.agg(F.min(order).alias("__m"))
