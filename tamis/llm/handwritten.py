@@ -37,7 +37,7 @@ NAMES = re.compile(
     r"\.pb(?:\.\w+)?\.(?:go|cc|h|c|js|ts|swift|py)$|_pb2(?:_grpc)?\.pyi?$|_pb\.(?:js|d\.ts|rb)$|_grpc\.pb\.go$|\.pb\.gw\.go$"
     r"|\.(?:generated|gen|g|designer)\.\w+$|_generated\.\w+$|_gen\.go$|^zz_generated|(?:^|_)generated(?:_|\.)|^mock_\w+\.go$|_mock\.gen\.go$|_string\.go$|_easyjson\.go$|bindata\.go$|\.deepcopy\.go$"
     r"|[.-]min\d*\.(?:js|css|mjs)$|\.bundle\d*\.(?:js|css|mjs)$|\.chunk\d*\.(?:js|css|mjs)$|[.-][0-9a-f]{8,20}\.(?:js|css|mjs)$|\.(?:js|css)\.map$"
-    r"|^bindata_\w+\.go$|^font_\w+\.js$|_table\.c$|_image\.h\.c$|\.xpm$|\.xbm$|(?<=[a-z_])(?:_data\.(?:go|c|h|py|js)|Data\.java)$",
+    r"|^bindata_\w+\.go$|^font_\w+\.js$|_table\.c$|_image\.h\.c$|\.xpm$|\.xbm$|(?<=[a-z_])(?:_data\.(?:go|c|h|py|js)|Data\.java)$|_(?:corpus|weights|embeddings|vectors|vocab|dump)\.json$",
 )
 #: What banners say, and how they are denied.
 BANNER = re.compile(
@@ -58,6 +58,7 @@ DATA_LINE = re.compile(
     r"|^[\s\"'`+]*[A-Za-z0-9+/=]{40,}[\s\"'`+,\\\])};]*$|^[\s\"'`+]*(?:\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}){4,}.*$"
 )
 LONG_BLOB = re.compile(r"[A-Za-z0-9+/=]{120,}|(?:\\x[0-9a-fA-F]{2}){30,}|(?:0x[0-9a-fA-F]{2},\s*){30,}|(?:-?\d+(?:\.\d+)?,\s*){40,}")
+NUMBERS = re.compile(r"(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?[\s,\]\[]*){30,}")
 PEM = re.compile(r"-----BEGIN [A-Z ]+-----.*?-----END [A-Z ]+-----", re.S)
 
 
@@ -92,8 +93,11 @@ def by_content(path: str | None, text: str | None) -> bool:
             inside = not inside
         if re.search(r"\*/|-->", s) or inside and s.endswith(('"""', "'''")) and len(s) > 3 and not s.startswith(('"""', "'''")):
             inside = False
-    if len(text) < SMALL_CHARS or not CODE.search(clean_path(path)):
+    if len(text) < SMALL_CHARS:
         return False
+    if not CODE.search(clean_path(path)):
+        # Configuration is written by hand; a table of numbers as JSON is data.
+        return clean_path(path).lower().endswith(".json") and sum(len(m) for m in NUMBERS.findall(text)) > 0.8 * len(text)
     body = PEM.sub("", text)
     rows = [x for x in body.split("\n") if x.strip()]
     code = [x for x in rows if not COMMENT_LINE.match(x)]

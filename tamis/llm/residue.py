@@ -30,7 +30,7 @@ ERRORS = [
     "go back to the start page or try the search", "go back to the start page", "oops", "something went wrong on our side", "something went wrong", "please reload the page in", "please reload the page", "please try again later", "please try again", "try again later", "minutes", "seconds",
     "the team has been told about it", "failed to render template", "traceback", "an error occurred while processing your request", "an unexpected error occurred", "an error has occurred", "application error", "a client-side exception has occurred", "fatal error",
     "this repository is not available", "it may have been moved, renamed or made private", "this page isn't available", "this content is not available", "we are down for maintenance", "down for maintenance", "under maintenance", "will be back in", "we'll be back soon",
-    "you have gone over the request limit for your address", "rate limit exceeded", "request limit exceeded", "and try again", "wait", "upstream connect error or disconnect before headers", "upstream connect error", "reset reason", "connection refused", "connection timed out", "database connection failed", "error establishing a database connection", "error establishing a connection to the", "database", "error code", "error", "status", "ray id", "request id", "incident id", "reference id", "no healthy upstream", "timeout",
+    "you have gone over the request limit for your address", "rate limit exceeded", "request limit exceeded", "and try again", "wait", "upstream connect error or disconnect before headers", "upstream connect error", "reset reason", "connection refused", "connection timed out", "database connection failed", "error establishing a database connection", "error establishing a connection to the", "database", "error code", "error", "status", "ray id", "request id", "incident id", "reference id", "no healthy upstream", "timeout", "if this goes on", "if the problem persists", "if this persists", "write to the administrators of", "write to the administrator", "contact the administrator", "contact your administrator", "contact support",
     "seite nicht gefunden", "die adresse", "gibt es auf", "nicht mehr", "fehler", "interner serverfehler", "zugriff verweigert", "die seite wurde nicht gefunden", "dienst nicht verfügbar",
     "page introuvable", "la page", "n'existe plus", "n'existe pas", "erreur", "erreur interne du serveur", "accès refusé", "service indisponible",
     "página no encontrada", "la página", "ya no existe", "no existe", "acceso denegado", "error interno del servidor", "servicio no disponible",
@@ -59,13 +59,13 @@ LATIN = frozenset(
 #: Placeholders of common template languages.
 PLACEHOLDER = re.compile(
     r"\{\{\{?\s*[\w][\w .|-]*\}?\}\}|<%[=-]?\s*[\w.@ ]+\s*-?%>|\$\{[A-Z][A-Z0-9_]*\}|\[(?:insert|your|enter|add) [^\]\n]{1,50}\]|\bTODO: (?:write|add|insert|describe|fill in) (?:the |your |an? )?\w+"
-    r"|(?<!\w)__[A-Z][A-Z0-9_]*__(?!\w)|(?<![\w%])%[A-Z][A-Z0-9_]{2,}%(?![\w%])|<(?:your|insert|enter)[ _-][\w -]{2,40}>|@@[A-Z][A-Z0-9_]+@@|\[\[[A-Za-z][\w ]*\]\]"
+    r"|(?<!\w)__[A-Z][A-Z0-9_]*__(?!\w)|(?<![\w%])%[A-Z][A-Z0-9_]{2,}%(?![\w%])|<(?:your|insert|enter)[ _-][\w -]{2,40}>|@@[A-Z][A-Z0-9_]+@@|\b(?:YOUR|INSERT|ENTER|ADD)(?: [A-Z0-9]+){1,4} HERE\b|#[A-Z][A-Z0-9_]{3,}#|%\([a-z_]+\)s|\[\[[A-Za-z][\w ]*\]\]"
 )
 #: Placeholders that other text uses too; two of them in one text are needed.
-LOOSE = re.compile(r"(?<![\w$\"'{}^_\\])\{\d\}(?![\"'{}])|\[(?!(?:INFO|WARN|WARNING|ERROR|DEBUG|FATAL|TRACE|NOTE|TODO|PATCH|RFC|WIP|DONE|OK|FAIL|PASS|YES|NO)\])[A-Z]{3,}(?: [A-Z0-9]+)*\](?![(\[:])|<[A-Z]{4,}(?: [A-Z0-9]+)*>|<[A-Z]{3,}(?: [A-Z0-9]+)+>")
+LOOSE = re.compile(r"(?<![\w$\"'{}^_\\])\{\d\}(?![\"'{}])|\[(?!(?:INFO|WARN|WARNING|ERROR|DEBUG|FATAL|TRACE|NOTE|TODO|PATCH|RFC|WIP|DONE|OK|FAIL|PASS|YES|NO)\])[A-Z]{3,}(?: [A-Z0-9]+)*\](?![(\[:])|(?<![\w\\$}\"'])\{[a-z][a-z0-9_ ]*\}(?![\"'}\w])|(?<!\w)\$[A-Z][A-Z0-9]*_[A-Z0-9_]+\b|<[a-z]+(?:[_ -][a-z0-9]+)+>|<[A-Z]{4,}(?: [A-Z0-9]+)*>|<[A-Z]{3,}(?: [A-Z0-9]+)+>")
 #: What people type to fill a field.
 KEYS = frozenset("foo bar baz qux quux asdf asdfg asdfgh qwer qwert qwerty blah bla test testing xxx yyy zzz hjkl zxcv jkl abc xyz".split())
-OPENERS = ["{{", "<%", "${", "[insert", "[your", "[enter", "[add", "todo: ", "__", "%", "<your", "<insert", "<enter", "@@", "[["]
+OPENERS = ["{{", "<%", "${", "[insert", "[your", "[enter", "[add", "todo: ", "__", "%", "<your", "<insert", "<enter", "@@", "[[", " here", "#"]
 FENCED = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)", re.S | re.M)
 INLINE = re.compile(r"`[^`\n]*`")
 CODE_LINE = re.compile(r"^\s*(?://|/\*|\*\s|#include|#define|--\s|const |let |var |func |def |return\b|if |for |import |package |export |public |private |static |type |class |\$ )|[;{}]\s*$|:=|[\w\])] = \S|\w\([^)]*\)\s*$|=>")
