@@ -82,3 +82,33 @@ def test_stream_keeps_first(spark, tmp_path):
     q = out.writeStream.format("memory").queryName("kept").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("kept").count() == 1
+
+
+def test_data_sources_and_sql_functions(spark, tmp_path):
+    from tamis.functions import registry
+    from tamis.sources import datasource
+
+    datasource.register(spark)
+    registry.register(spark)
+    (tmp_path / "h").mkdir()
+    page = lambda a, b: json.dumps({"items": [{"full_name": f"o/r{i}", "license": None, "stargazers_count": 9 - i} for i in range(a, b)]})
+    (tmp_path / "h/1.json").write_text(page(0, 2))
+    (tmp_path / "h/2.json").write_text(page(2, 3))
+    read = lambda n: [r.full_name for r in spark.read.format("code_host").options(base=str(tmp_path / "h"), page_size=2, max_results=n).load().collect()]
+    assert read(10) == ["o/r0", "o/r1", "o/r2"] and read(1) == ["o/r0"]
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p/0.xml").write_text(FEED)
+    assert spark.read.format("papers").options(base=str(tmp_path / "p"), max_results=5).load().count() == 2
+    assert spark.read.format("papers").options(base=str(tmp_path / "none"), max_results=5).load().count() == 0
+    row = spark.sql("select parse_reply('{\"correctness\": 1}').score s, size(parse_pairs('junk')) n").first()
+    assert (row.s, row.n) == (0.25, 0)
+    got = spark.sql("select * from extract_code('```go\nfunc TestA() {}\n```')").collect()
+    assert [(r.idx, r.is_test) for r in got] == [(0, True)]
+
+
+def test_command_line(spark, tmp_path):
+    from tamis.cli import main
+
+    (tmp_path / "in.json").write_text("\n".join(json.dumps({"ord": i, "instruction": f"do {i}", "response": f"done {i}", "context": ""}) for i in range(5)))
+    assert main(["build", str(tmp_path / "in.json"), "set", str(tmp_path / "out"), "--val-ratio", "0.2"]) == 0
+    assert json.loads((tmp_path / "out/set.manifest.json").read_text())["splits"] == {"train": 4, "validation": 1}
