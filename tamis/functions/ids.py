@@ -17,9 +17,10 @@ def strip_blank(c: Column) -> Column:
 def _path(c: Column) -> Column:
     """Lower case, without blanks, scheme, host, query, outer slashes and ``.git``."""
     c = F.lower(strip_blank(c))
-    c = F.regexp_replace(c, r"^(?:git\+)?[a-z][a-z0-9+.-]*://(?:[^/@\s]*@)?", "")
-    c = F.regexp_replace(c, r"^git@([^:/]+):", "$1/")
-    c = F.regexp_replace(c, r"^(?:[a-z0-9-]+\.)+[a-z]{2,}(?::\d+)?/+", "")
+    c = F.regexp_replace(c, r"^(?:git\+)?[a-z][a-z0-9+.-]*://[^/]*/*", "")
+    c = F.regexp_replace(c, r"^git@[^:/]+:", "")
+    # Without a scheme a first part with dots is a host only if an id follows it.
+    c = F.regexp_replace(c, r"^(?:[a-z0-9-]+\.)+[a-z]{2,}(?::\d+)?/+(?=[^/]+/[^/]|(?:abs/|pdf/)?(?:arxiv:)?\d{4}\.\d{4,5})", "")
     c = F.regexp_replace(c, r"[/\s]+$", "")
     c = F.regexp_replace(c, r"\.git$", "")
     return F.regexp_replace(c, r"^/+|/+$", "")

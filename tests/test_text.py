@@ -41,8 +41,8 @@ def test_truncate(spark):
 
 
 def test_ids(spark):
-    vals = [" A/B.git ", "https://host.example/a/b/", "host.example/x-labs/y_2.git/", "2301.00001v3", "https://papers.example/abs/2301.00001v2", "", None, "a/toolv2"]
-    assert column(spark, vals, norm_id) == ["a/b", "a/b", "x-labs/y_2", "2301.00001", "2301.00001", None, None, "a/toolv2"]
+    vals = [" A/B.git ", "https://host.example/a/b/", "host.example/x-labs/y_2.git/", "2301.00001v3", "https://papers.example/abs/2301.00001v2", "", None, "a/toolv2", "papers.example/2301.00001", "org.name/set"]
+    assert column(spark, vals, norm_id) == ["a/b", "a/b", "x-labs/y_2", "2301.00001", "2301.00001", None, None, "a/toolv2", "2301.00001", "org.name/set"]
     assert column(spark, ["A/B", "2301.00001"], lambda c: owner_of(norm_id(c))) == ["a", None]
     assert column(spark, ["git@host.example:A/b.git", "https://u@host.example/A/b"], norm_url) == ["a/b", "a/b"]
 
