@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Largest pickled table (bytes) that may be shipped to tasks in a closure.
-CLOSURE_BYTES = 64 << 20
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Only where neither the setting nor the
@@ -39,6 +39,32 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(jdf.queryExecution().toRdd(), jdf.schema(), False), spark)
 
 
+_TABLES: list[tuple[SparkSession, str]] = []
+
+
+def _drop_tables() -> None:
+    """Removes the tables of :func:`written` when the program ends."""
+    for spark, path in _TABLES:
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session may be gone; then only local files can be removed
+            shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared checkpoint folder: smaller than a checkpoint, and
+    later reads take only the columns they need. Order and partitioning aren't kept. The table is
+    removed when the program ends."""
+    spark = df.sparkSession
+    if not _TABLES:
+        atexit.register(_drop_tables)
+    path = f"{checkpoint_dir(spark)}/tamis-{uuid.uuid4().hex}.parquet"
+    _TABLES.append((spark, path))
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, per_task: int = 2) -> DataFrame:
     """Rows dealt round over the cores when the scan gives fewer partitions than cores, as it
     does for one small file. A large scan has many splits and isn't shuffled."""
