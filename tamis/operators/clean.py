@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tamis.functions import text as T
 from tamis.functions.redact import scrub
 from tamis.operators.minhash import greedy_near_duplicates
-from tamis.plans.runtime import cut
+from tamis.plans.runtime import spread, written
 
 #: Licences that a document may carry.
 LICENSES = ["MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause-Clear", "ISC", "0BSD", "Unlicense", "Zlib", "MPL-2.0", "BSL-1.0", "PostgreSQL", "CC0-1.0", "WTFPL"]
@@ -56,7 +56,7 @@ def filtered(docs: DataFrame, o: CleanOptions = CleanOptions(), content: str = "
     """
     known = allowed_license(F.col(license_), o.licenses, o.allow_unknown_license) if license_ else F.lit(o.allow_unknown_license)
     early = F.when(T.printable_ratio(F.col(content)) < o.min_printable, "encoding").when(~known, "license")
-    out = docs.withColumn("drop_reason", early)
+    out = spread(docs).withColumn("drop_reason", early)
     if o.scrub:
         out = scrub(out.withColumn("__c", F.when(F.col("drop_reason").isNull(), F.col(content))), "__c")
         out = out.withColumn(content, F.coalesce("__c", content)).drop("__c")
@@ -85,11 +85,11 @@ def clean(docs: DataFrame, order: str = "ord", o: CleanOptions = CleanOptions(),
     Null and empty content is ``encoding``. A threshold above 1 leaves out the near stage; at or
     below 0 it keeps the first row only. An empty table gives no rows.
     """
-    out = exact_marked(filtered(docs, o, content, license_), order, content)
+    # Both branches of the exact stage read the redacted texts; they are written once.
+    out = exact_marked(written(filtered(docs, o, content, license_)), order, content)
     if o.near_threshold > 1:
         return out
-    # Redacted texts are used twice from here on; they are written once.
-    out = cut(out)
+    out = written(out)
     live = out.where("drop_reason is null")
     if o.near_threshold <= 0:
         first = live.agg(F.min(order).alias("__m"))

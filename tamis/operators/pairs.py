@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tamis.functions import text as T
 from tamis.functions.redact import scrub
 from tamis.operators.clean import CleanOptions, clean
-from tamis.plans.runtime import cut
+from tamis.plans.runtime import spread, written
 
 #: Field names by priority.
 INSTRUCTION_KEYS = ["instruction", "problem", "prompt", "question", "query", "task"]
@@ -89,11 +89,12 @@ def import_clean(pairs: DataFrame, order: str = "ord", o: CleanOptions = CleanOp
     """All pairs with both sides filled after redaction, with ``redactions`` by field and the
     ``drop_reason`` of cleaning their joined text (instruction, context, response)."""
     fields = ["instruction", "response", "context"]
+    pairs = spread(pairs)
     for f in fields:
         pairs = scrub(pairs, f, f"__r_{f}")
     pairs = pairs.withColumn("redactions", sum((F.col(f"__r_{f}") for f in fields[1:]), F.col("__r_instruction"))).drop(*[f"__r_{f}" for f in fields])
     pairs = pairs.where(~T.is_blank(F.col("instruction")) & ~T.is_blank(F.col("response")))
     parts = [F.when(F.col(f) != "", F.col(f)) for f in ("instruction", "context", "response")]
-    joined = cut(pairs).withColumn("content", F.concat_ws("\n\n", *parts)).withColumnRenamed("redactions", "__red")
+    joined = written(pairs).withColumn("content", F.concat_ws("\n\n", *parts)).withColumnRenamed("redactions", "__red")
     done = clean(joined, order, o, license_=None)
     return done.drop("redactions", "content").withColumnRenamed("__red", "redactions")

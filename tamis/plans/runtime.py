@@ -68,6 +68,8 @@ def written(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, per_task: int = 2) -> DataFrame:
     """Rows dealt round over the cores when the scan gives fewer partitions than cores, as it
     does for one small file. A large scan has many splits and isn't shuffled."""
+    if df.isStreaming:
+        return df
     sc = df.sparkSession.sparkContext
     want = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
