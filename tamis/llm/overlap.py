@@ -1,22 +1,23 @@
 """Problem 6: the same or nearly the same pair in training and evaluation splits of a build.
 
-Records are normalised and their instructions cut into chunks where a rolling hash of the words
-says so, so that an edit changes only the chunks around it. Records with equal words are one
-class. Classes are joined by the digests of their rarest chunks across splits; lengths and
-word counts that no small edit can bridge thin the candidates out, the lengths of shared chunks
-give overlap fractions, and an edit distance on the words of both sides decides.
-
-A class that shares at least SHARED of its chunks with another holds one of the other's
-``s - need + 1`` rarest shared chunks (s: chunks that stand on both sides of the split at all,
-need: the least number), so only these are joined: chunks that stand everywhere (stock
-phrases) hardly ever produce pairs, and no bucket is capped. Both sides of a pair must agree, so
-the chunks of the shorter one, the instruction, are enough to find all candidates.
+Records are normalised, and records with equal words are one class. A class with training rows is cut
+into successive chunks of few words, a class with evaluation rows gives every run of as many words.
+An edit changes one chunk at most, so of ``k + 1`` chunks one stands unchanged in any class within
+``k`` edits: the rarest ``k + 1`` of each class are joined with the runs, and no pair is lost,
+however short it is and wherever its edits are. Chunks that stand on no other side of the split count as
+edited and leave fewer to look up; chunks that stand everywhere (stock phrases) are hardly ever among
+the rarest, and no bucket is capped. Lengths and word counts that no small edit can bridge thin the
+candidates out, and an edit distance on the words of both sides decides.
+
+Both sides of a pair must agree, so one is enough to find all candidates: the instruction, or the
+response if that is longer and the instruction has under SHORT words or none.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,8 @@ from tamis.plans.runtime import cut, spread, written
 #: A chunk ends where the rolling hash of two words is divisible by this, after so many words
 #: at least and at most.
 CUT_EVERY, LEAST_WORDS, MOST_WORDS = 2, 2, 24
-#: Share of a record's chunks that candidates must have in common.
-SHARED = 0.15
+#: Training rows with fewer words of instruction are found by their response, if that is longer.
+SHORT = 8
 #: Up to so many candidate rows the scan for their texts is narrowed by a broadcast; beyond, by
 #: a join on both sides.
 BROADCAST_ROWS = 500_000
@@ -146,14 +147,81 @@ def edit_distance(a: list[int], b: list[int], most: int) -> int:
     return d
 
 
+def most_edits(a: int, b: int) -> int:
+    """Words in which sides of so many words may differ: about one in ten."""
+    if min(a, b) <= 2 * LEAST_EDITS:
+        return max(a, b) // 4
+    return max(LEAST_EDITS, int(EDITS * max(a, b)))
+
+
 def near(a: list[int], b: list[int]) -> bool:
     """At most about one word in ten differs."""
-    most = max(LEAST_EDITS, int(EDITS * max(len(a), len(b))))
-    if min(len(a), len(b)) <= 2 * LEAST_EDITS:
-        most = max(len(a), len(b)) // 4
+    most = most_edits(len(a), len(b))
     return edit_distance(a, b, most) <= most
 
 
+@lru_cache(maxsize=100_000)
+def reach(n: int) -> int:
+    """Edits that a side of ``n`` words may be away from any other."""
+    return max(most_edits(n, m) for m in range(n, n + n // 3 + LEAST_EDITS + 1) if m - n <= most_edits(n, m))
+
+
+def width(n: int) -> int:
+    """Words of a chunk of a side of ``n`` words: short enough for more than ``reach(n)`` chunks."""
+    return 3 if n >= 12 else 2 if n >= 8 else 1
+
+
+@lru_cache(maxsize=100_000)
+def widths(n: int) -> tuple[int, ...]:
+    """Chunk widths of all sides that a side of ``n`` words can be near to."""
+    return tuple(sorted({width(m) for m in range(n // 2, 2 * n + 1) if abs(n - m) <= most_edits(n, m)}))
+
+
+#: Words of instruction up to which an evaluation row can be near to a training row under SHORT.
+NEAR_SHORT = max(n + reach(n) for n in range(SHORT))
+
+
+def runs(sides: list[list[int]], words: int, step: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, digest) of the runs of so many words that begin at every ``step``-th word."""
+    size = np.array([len(s) for s in sides], np.int64)
+    n = int(size.sum())
+    if n < words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = np.fromiter((w for s in sides for w in s), np.uint64, n)
+    seq = np.repeat(np.arange(len(sides)), size)
+    place = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+    at = np.flatnonzero((place % step == 0) & (place + words <= size[seq]))
+    x = np.full(len(at), salt * 8 + words, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(words):
+            x = (x ^ h[at + i]) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+    return seq[at], x.view(np.int64)
+
+
+def probe_keys(ins: list[list[int]], res: list[list[int]], ev: list[bool]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(record, digest) of every record, once each, and the edits its chunks may be away: chunks of
+    training records, all runs of evaluation records."""
+    parts, edits = [], []
+    jobs: dict[tuple[int, int, int], list[int]] = {}
+    for k, (i, r, e) in enumerate(zip(ins, res, ev)):
+        side = int(len(i) < SHORT and len(r) > len(i))
+        n = len(r) if side else len(i)
+        edits.append(reach(n))
+        if not e:
+            jobs.setdefault((side, width(n), width(n)), []).append(k)
+            continue
+        for w in widths(len(i)):
+            jobs.setdefault((0, w, 1), []).append(k)
+        for w in widths(len(r)) if len(i) <= NEAR_SHORT else ():
+            jobs.setdefault((1, w, 1), []).append(k)
+    for (side, w, step), at in jobs.items():
+        seq, digest = runs([(res if side else ins)[k] for k in at], w, step, side)
+        parts.append(np.stack([np.array(at, np.int64)[seq], digest]))
+    both = np.unique(np.concatenate(parts, axis=1), axis=1) if parts else np.empty((2, 0), np.int64)
+    return both[0], both[1], edits
+
+
 #: What a record is told apart by: words of both sides, and their word counts by bucket as rows of bits
 #: in numbers, 16 buckets of up to 4 for the instruction, 32 of up to 4 for the response.
 SKETCH = ["il", "rl", "w1", "w2", "w3"]
@@ -172,8 +240,8 @@ def counts(sides: list[list[int]], buckets: int, most: int = 4) -> tuple[np.ndar
 
 
 def _records(pairs: DataFrame) -> DataFrame:
-    """One row per pair with build and split: class of equal words, distinct chunk digests of the
-    instruction, and the sketches of both sides."""
+    """One row per pair with build and split: class of equal words, distinct digests of its chunks
+    (training rows) or runs (others), edits they may be away, and the sketches of both sides."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,40 +252,37 @@ def _records(pairs: DataFrame) -> DataFrame:
             res = [words(t) for t in b.column("response").to_pylist()]
             n = len(ins)
             cls = [xxhash.xxh3_64_intdigest(np.array([len(i), *i, *r], np.uint64).tobytes()) - (1 << 63) for i, r in zip(ins, res)]
-            seq, digest, _ = chunks(ins)
-            pair = np.unique(np.stack([seq, digest]), axis=1) if len(seq) else np.empty((2, 0), np.int64)
-            own = pa.ListArray.from_arrays(pa.array(np.searchsorted(pair[0], np.arange(n + 1)), pa.int32()), pa.array(pair[1], pa.int64()))
+            seq, digest, edits = probe_keys(ins, res, b.column("ev").to_pylist())
+            own = pa.ListArray.from_arrays(pa.array(np.searchsorted(seq, np.arange(n + 1)), pa.int32()), pa.array(digest, pa.int64()))
             (il, w1), (rl, w2, w3) = counts(ins, 16), counts(res, 32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("ord"), b.column("build"), b.column("ev"), pa.array(cls, pa.int64()), own, *map(pa.array, (il, rl, w1, w2, w3))],
-                ["ord", "build", "ev", "cls", "digests", *SKETCH],
+                [b.column("ord"), b.column("build"), b.column("ev"), pa.array(cls, pa.int64()), own, pa.array(edits, pa.int32()), *map(pa.array, (il, rl, w1, w2, w3))],
+                ["ord", "build", "ev", "cls", "digests", "edits", *SKETCH],
             )
 
     src = pairs.where("build is not null and split is not null").select("ord", F.xxhash64("build").alias("build"), (F.col("split") != "train").alias("ev"), "instruction", "response")
-    return spread(src).mapInArrow(run, "ord bigint, build bigint, ev boolean, cls bigint, digests array<bigint>, il int, rl int, w1 bigint, w2 bigint, w3 bigint")
+    return spread(src).mapInArrow(run, "ord bigint, build bigint, ev boolean, cls bigint, digests array<bigint>, edits int, il int, rl int, w1 bigint, w2 bigint, w3 bigint")
 
 
-def near_classes(pairs: DataFrame, recs: DataFrame, shared: float = SHARED) -> DataFrame:
+def near_classes(pairs: DataFrame, recs: DataFrame) -> DataFrame:
     """``build, cls, cls2``: classes that are nearly the same, the first with training rows, the
     second with evaluation rows."""
     import pyarrow as pa
 
-    # One row per class and build; copies carry the same chunks.
-    once = ["digests", *SKETCH]
-    classes = written(recs.groupBy("build", "cls").agg(F.min("ord").alias("rep"), F.bool_or(~F.col("ev")).alias("t"), F.bool_or("ev").alias("e"), *[F.first(c).alias(c) for c in once]).withColumn("n", F.size("digests")))
+    # One row per class and build; copies on one side of the split carry the same digests.
+    of = lambda side: F.first(F.when(side, F.col("digests")), ignorenulls=True)
+    classes = written(recs.groupBy("build", "cls").agg(F.min("ord").alias("rep"), of(~F.col("ev")).alias("chunks"), of(F.col("ev")).alias("runs"), *[F.first(c).alias(c) for c in ("edits", *SKETCH)]))
     # A digest counts within its build only.
-    each = classes.select(F.explode("digests").alias("d"), "build", "rep", "t", "e").withColumn("d", F.xxhash64("build", "d")).drop("build")
-    both = each.groupBy("d").agg(F.count_if("t").alias("nt"), F.count_if("e").alias("ne"), F.count("*").alias("m")).where("nt > 0 and ne > 0 and m > 1").select("d", (F.col("nt") * F.col("ne")).alias("df"))
-    held = each.select("d", "rep").join(both, "d").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "d"))).alias("s"))
-    need = F.greatest(F.lit(1), F.ceil(F.col("n") * shared).cast("int"))
-    # Lengths and sides share a number: these rows are many, and are written once.
-    packed = F.shiftleft(F.col("il").cast("long"), 32).bitwiseOR(F.col("t").cast("long") * (1 << 31)).bitwiseOR(F.col("e").cast("long") * (1 << 30)).bitwiseOR(F.col("rl").cast("long"))
-    keep = ["rep", "m", "w1", "w2", "w3"]
-    probes = classes.drop("digests").join(held, "rep").where(F.size("s") >= need).withColumn("m", packed).select(*keep, F.explode(F.slice("s", F.lit(1), F.size("s") - need + 1)).alias("x")).select(*keep, F.col("x.d").alias("d"))
-    probes = written(probes)
-    side = lambda bit: probes.where(F.col("m").bitwiseAND(1 << bit) != 0).withColumns({"il": F.shiftright("m", 32), "rl": F.col("m").bitwiseAND((1 << 30) - 1)}).drop("m")
-    a, b = side(31), side(30)
-    b = b.select("d", *[F.col(c).alias(c + "_") for c in ("rep", *SKETCH)])
+    digests = lambda of, *keep: classes.select("build", "rep", *keep, F.explode(of).alias("d")).withColumn("d", F.xxhash64("build", "d")).drop("build")
+    chunk, run_ = digests("chunks"), digests("runs", *SKETCH)
+    counted = chunk.select("d", F.lit(1).alias("t")).union(run_.select("d", F.lit(0))).groupBy("d").agg(F.sum("t").alias("nt"), F.count("*").alias("m"))
+    both = counted.where("nt > 0 and m > nt").select("d", (F.col("nt") * (F.col("m") - F.col("nt"))).alias("df"))
+    held = chunk.join(both, "d").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "d"))).alias("s"))
+    # Chunks that no evaluation row has are edited for sure; one of so many others is whole in a near class.
+    left = F.col("edits") + 1 - (F.size("chunks") - F.size("s"))
+    probes = classes.drop("runs").join(held, "rep").withColumn("left", left).where("left > 0")
+    a = probes.select("rep", *SKETCH, F.explode(F.slice("s", F.lit(1), F.col("left"))).alias("x")).select("rep", *SKETCH, F.col("x.d").alias("d"))
+    b = run_.select("d", *[F.col(c).alias(c + "_") for c in ("rep", *SKETCH)])
     most = lambda x, y: F.greatest(F.lit(LEAST_EDITS), F.floor(F.greatest(x, y) * EDITS))
     # A changed word moves two counts by one, so no pair within the bounds is lost here.
     apart = lambda *w: sum((F.bit_count(F.col(x).bitwiseXOR(F.col(x + "_"))) for x in w), F.lit(0))
