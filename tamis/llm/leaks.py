@@ -3,8 +3,8 @@
 SimHash fingerprints of all word windows of the items are indexed by blocks of bits: two
 fingerprints that differ in at most RADIUS bits agree in at least one of RADIUS + 1 blocks, so
 a look-up by every block finds all of them. The windows of a document that hit an item give
-candidates; shared windows, weighted by how few items have them, thin these out, and a local
-alignment of words decides.
+candidates; one window that is equal makes a candidate, however many items have it, as every passage
+leaves one whole. Counts of words thin the candidates out, and a local alignment of words decides.
 
 A passage of 20 words with a sixth of them changed leaves a run of 4 or 5 words whole, but a
 fingerprint of 20 words so changed is some 11 of 64 bits away, a radius no block index can
@@ -26,8 +26,6 @@ from tamis.plans.runtime import spread
 WINDOW, RADIUS, PASSAGE = 4, 3, 20
 #: Changed, dropped and added words, as a share of a passage.
 CHANGED = 1 / 6
-#: Weight of shared windows from which a pair is aligned; an equal window of one item weighs 1.
-WEIGHT = 1.0
 #: Cost of a changed, dropped or added word against 1 for an equal one.
 EDIT = 2.0
 #: Items of one pass over the documents; more items take more passes.
@@ -146,6 +144,35 @@ def may_hold(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: f
     return int(span.max()) >= least - edits
 
 
+def may_share(held: np.ndarray, least: int = PASSAGE, changed: float = CHANGED) -> bool:
+    """A necessary condition of :func:`may_hold`, cheaper still: among some ``least`` successive item words,
+    all but the edits are ``held`` by the document anywhere."""
+    if len(held) < least:
+        return False
+    n = np.cumsum(held, dtype=np.int16)
+    n[least:] -= n[:-least].copy()
+    return int(n[least - 1 :].max()) >= least - math.ceil(least * changed) - 1
+
+
+def may_align(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: float = CHANGED) -> bool:
+    """A necessary condition of :func:`may_hold`, without its matrix: its diagonals are taken in blocks as wide as
+    its band, so any band lies in two neighbours."""
+    edits = math.ceil(least * changed) + 1
+    order = np.argsort(doc, kind="stable")
+    lo, hi = (np.searchsorted(doc[order], item, side) for side in ("left", "right"))
+    n = hi - lo
+    i = np.repeat(np.arange(len(item)), n)
+    if len(i) < least - edits:
+        return False
+    j = order[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+    block = (j - i + len(item)) // (2 * edits + 1)
+    grid = np.zeros((int(block.max()) + 2, len(item)), bool)
+    grid[block, i] = grid[block + 1, i] = True
+    span = np.cumsum(grid[grid.sum(axis=1) >= least - edits], axis=1, dtype=np.int16)
+    span[:, least:] -= span[:, :-least].copy()
+    return bool((span >= least - edits).any())
+
+
 def passage(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: float = CHANGED) -> bool:
     """Some stretch of at least ``least`` item words stands in the document with at most
     ``changed`` of its words edited (one word more is allowed for rounding)."""
@@ -205,12 +232,15 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
             flat = np.concatenate([np.empty(0, np.uint64), *prints])
             if not len(flat):
                 return
-            # Equal windows are one entry that lists its items; it weighs one over their number.
+            # Words as places in a sorted list; those of no item share the last place.
+            known_words = np.unique(np.concatenate(seqs))
+            word_at = [np.searchsorted(known_words, s) for s in seqs]
+            held = np.zeros(len(known_words) + 1, bool)
+            # Equal windows are one entry that lists its items.
             distinct, which = np.unique(flat, return_inverse=True)
             pairs = np.unique(which.astype(np.int64) * len(some) + owner)
             entry, item_of = pairs // len(some), pairs % len(some)
             first = np.searchsorted(entry, np.arange(len(distinct) + 1))
-            weight = 1.0 / (first[1:] - first[:-1])
             index = BlockIndex(distinct)
             for b in batches:
                 docs_, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -226,28 +256,37 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
                     q, e = index.within(all_f)
                     n = first[e + 1] - first[e]
                     it = item_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[e], n)]
-                    # A window that is only near counts half.
-                    worth = np.where(all_f[q] == distinct[e], weight[e], weight[e] / 2)
-                    q, w, ent = np.repeat(q, n), np.repeat(worth, n), np.repeat(e, n)
+                    whole = np.repeat(all_f[q] == distinct[e], n)
+                    q = np.repeat(q, n)
                     key = doc_of[q].astype(np.int64) * len(some) + it
-                    order = np.lexsort((ent, key))
-                    key, q, w, ent = key[order], q[order], w[order], ent[order]
-                    # A window counts once a pair, however often the document repeats it.
-                    new = np.ones(len(key), bool)
-                    new[1:] = (key[1:] != key[:-1]) | (ent[1:] != ent[:-1])
+                    # Any passage of an item leaves a window whole: a pair without one can't hold it.
+                    order = np.flatnonzero(np.isin(key, key[whole]))
+                    order = order[np.argsort(key[order], kind="stable")]
+                    key, q, whole = key[order], q[order], whole[order]
                     cand, begin = np.unique(key, return_index=True)
-                    sums = np.add.reduceat(np.where(new, w, 0.0), begin) if len(cand) else []
                     ends = np.append(begin[1:], len(key))
-                    for c, s, x, y in zip(cand.tolist(), sums, begin.tolist(), ends.tolist()):
-                        if s < WEIGHT:
-                            continue
+                    last = None
+                    for c, x, y in zip(cand.tolist(), begin.tolist(), ends.tolist()):
                         d, i = divmod(c, len(some))
+                        if len(seqs[i]) < PASSAGE:
+                            continue
+                        if d != last:
+                            last, at = d, np.searchsorted(known_words, hs[d])
+                            at[known_words[np.minimum(at, len(known_words) - 1)] != hs[d]] = len(known_words)
                         # Only the surroundings of the hits can hold the passage.
                         reach = len(seqs[i]) * 7 // 6 + 8
-                        hits = np.unique(pos_of[q[x:y]])
+                        hits, must = np.unique(pos_of[q[x:y]]), pos_of[q[x:y][whole[x:y]]]
                         for group in np.split(hits, np.flatnonzero(np.diff(hits) > reach) + 1):
-                            part = hs[d][max(0, group[0] - reach) : group[-1] + WINDOW + reach]
-                            if may_hold(seqs[i], part) and passage(seqs[i], part):
+                            if not ((must >= group[0]) & (must <= group[-1])).any():
+                                continue
+                            lo_, hi_ = max(0, group[0] - reach), group[-1] + WINDOW + reach
+                            near = at[lo_:hi_]
+                            held[near] = True
+                            held[-1] = False
+                            can = may_share(held[word_at[i]])
+                            held[near] = False
+                            part = hs[d][lo_:hi_]
+                            if can and may_align(seqs[i], part) and may_hold(seqs[i], part) and passage(seqs[i], part):
                                 out_d.append(docs_[lo + d])
                                 out_i.append(some[i][0])
                                 break

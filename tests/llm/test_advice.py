@@ -2,7 +2,7 @@
 
 import random
 
-from tamis.llm import overlap
+from tamis.llm import leaks, overlap
 
 
 def test_overlap_of_short_and_evenly_edited_pairs(spark):
@@ -26,3 +26,17 @@ def test_overlap_of_short_and_evenly_edited_pairs(spark):
     got = [(r.ord_a, r.ord_b) for r in overlap.cross_split(df).collect()]
     assert set(got) == want and len(got) == len(want) > 90
     assert all(n // overlap.width(n) > overlap.reach(n) for n in range(1, 3000))
+
+
+def test_leaks_of_a_passage_that_many_items_share(spark):
+    rnd = random.Random(91)
+    vocab = [f"{a}{b}" for a in ("lock", "tree", "page", "node", "ring", "heap") for b in ("er", "ing", "ed", "s", "let", "age", "or", "ful")]
+    make = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    common = make(30)
+    items = [(i, " ".join(make(15) + common + make(15))) for i in range(60)] + [(99, " ".join(make(60)))]
+    edited = list(common[2:26])
+    for i in (4, 9, 14, 19):
+        edited[i] = "changed"
+    docs = [(1, " ".join(make(40) + common[5:25] + make(40))), (2, " ".join(make(40) + edited + make(40))), (3, " ".join(make(40) + common[:7] + make(40)))]
+    got = [(r.doc_id, r.item_id) for r in leaks.leaked(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()]
+    assert sorted(got) == [(d, i) for d in (1, 2) for i in range(60)]
