@@ -3,7 +3,8 @@
 Three kinds of evidence, each alone enough: the path (generator suffixes, bundles, third-party
 folders), the content (banners at the top, minified or data-like composition), and other
 repositories (lines of the file, rarest first, found in an earlier file of another
-repository: an inverted index of line hashes with an exact containment check).
+repository, or in a third-party copy of any date there: an inverted index of the line hashes of all
+files with an exact containment check).
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ NAMES = re.compile(
     r"|[.-]min\d*\.(?:js|css|mjs)$|\.bundle\d*\.(?:js|css|mjs)$|\.chunk\d*\.(?:js|css|mjs)$|[.-][0-9a-f]{8,20}\.(?:js|css|mjs)$|\.(?:js|css)\.map$"
     r"|^bindata_\w+\.go$|^font_\w+\.js$|_table\.c$|_image\.h\.c$|\.xpm$|\.xbm$|(?<=[a-z_])(?:_data\.(?:go|c|h|py|js)|Data\.java)$|_(?:corpus|weights|embeddings|vectors|vocab|dump)\.json$",
 )
+#: Folders and banners of third-party copies.
+THIRD_FOLDERS = re.compile(FOLDERS.pattern.removeprefix("(?:^|/)generated/|"))
+THIRD_BANNER = re.compile(r"\bvendored from\b|\bupstream copy\b|\bbundled third-party\b|\bthird-party library\b|\bkept here unmodified\b|\bcopied (?:verbatim )?from (?:upstream|https?://)", re.I)
 #: What banners say, and how they are denied.
 BANNER = re.compile(
     r"code generated (?:by|from)\b|@generated\b|<auto-?generated>|\bauto(?:matically)?[ -]?generated\b|\bgenerated (?:on build|automatically|by|from|file|code|with)\b|\bmachine[- ]generated\b"
@@ -75,24 +79,40 @@ def by_path(path: str | None) -> bool:
     return bool(FOLDERS.search("/" + p) or BUILT.search("/" + p) or NAMES.search(p.rsplit("/", 1)[-1]))
 
 
-def by_content(path: str | None, text: str | None) -> bool:
-    """A banner in the comments on top, or a minified or data-like composition."""
-    if not text or not text.strip() or LICENCE.search(clean_path(path)):
-        return False
-    text = text.replace("\r\n", "\n").replace("\r", "\n")
+def banner(text: str, says: re.Pattern = BANNER) -> str | None:
+    """The first line of the comments on top that is a banner."""
     lines = text.split("\n")
     inside = False
     for line in lines[:BANNER_LINES]:
         s = line.strip()
         if inside or COMMENT_LINE.match(line):
-            if BANNER.search(line) and not DENIED.search(line):
-                return True
+            if says.search(line) and not DENIED.search(line):
+                return line
         if re.match(r"/\*|<!--", s):
             inside = True
         if re.match(r"\"\"\"|'''", s) and s[3:].find(s[:3]) < 0:
             inside = not inside
         if re.search(r"\*/|-->", s) or inside and s.endswith(('"""', "'''")) and len(s) > 3 and not s.startswith(('"""', "'''")):
             inside = False
+    return None
+
+
+def third_party(path: str | None, text: str | None) -> str | None:
+    """What shows a third-party copy, its path or banner, with ``_`` for ``/``; None for other files."""
+    p = clean_path(path)
+    if THIRD_FOLDERS.search("/" + p):
+        return p.lower().replace("/", "_")
+    line = banner(text.replace("\r\n", "\n").replace("\r", "\n"), THIRD_BANNER) if text else None
+    return line.lower().replace("/", "_") if line else None
+
+
+def by_content(path: str | None, text: str | None) -> bool:
+    """A banner in the comments on top, or a minified or data-like composition."""
+    if not text or not text.strip() or LICENCE.search(clean_path(path)):
+        return False
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
+    if banner(text):
+        return True
     if len(text) < SMALL_CHARS:
         return False
     if not CODE.search(clean_path(path)):
@@ -116,7 +136,8 @@ def by_content(path: str | None, text: str | None) -> bool:
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """``ord, repo, at, found, lines``: evidence of its own, and hashes of the distinct lines."""
+    """``ord, repo, at, found, third, lines``: evidence of its own, what shows a third-party copy, and
+    hashes of the distinct lines."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,37 +153,41 @@ def _scan(docs: DataFrame) -> DataFrame:
         for b in batches:
             paths, texts = b.column("file_path").to_pylist(), b.column("content").to_pylist()
             found = [by_path(p) or by_content(p, t) for p, t in zip(paths, texts)]
-            lines = [[] if f else hashes(p, t) for f, p, t in zip(found, paths, texts)]
-            yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("repo"), b.column("at"), pa.array(found, pa.bool_()), pa.array(lines, pa.list_(pa.int64()))], ["ord", "repo", "at", "found", "lines"])
+            third = [third_party(p, t) if f else None for f, p, t in zip(found, paths, texts)]
+            lines = [hashes(p, t) for p, t in zip(paths, texts)]
+            yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("repo"), b.column("at"), pa.array(found, pa.bool_()), pa.array(third, pa.string()), pa.array(lines, pa.list_(pa.int64()))], ["ord", "repo", "at", "found", "third", "lines"])
 
     src = spread(docs.select("ord", norm_id(F.col("repo")).alias("repo"), F.col("read_at").cast("timestamp_ntz").alias("at"), "file_path", "content"))
-    return src.mapInArrow(run, "ord bigint, repo string, at timestamp_ntz, found boolean, lines array<bigint>")
+    return src.mapInArrow(run, "ord bigint, repo string, at timestamp_ntz, found boolean, third string, lines array<bigint>")
 
 
 def foreign_copies(files: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """``ord`` of files of which at least ``contained`` of the lines stand in an earlier file of
-    another repository. ``files(ord, repo, at, lines)``; null repositories are left out.
+    another repository, or in a third-party copy there, whatever its date, unless that names
+    the file's own repository as its source. ``files(ord, repo, at, found, third, lines)``; files
+    found already are looked up but not told; null repositories are left out.
 
     A file that is contained to that share in another holds one of its ``(1 - contained) n + 1``
     rarest lines there, whatever those are: only these are looked up, and nothing is missed.
     """
-    files = files.where("repo is not null and size(lines) > 0").select("ord", F.xxhash64("repo").alias("repo"), "at", "lines")
-    lines = files.select("ord", "repo", F.explode("lines").alias("h"))
+    files = files.where("repo is not null and size(lines) > 0").select("ord", F.xxhash64("repo").alias("repo"), F.col("repo").alias("name"), "at", "found", "third", "lines")
+    lines = files.select("ord", "repo", "found", F.explode("lines").alias("h"))
     repos = lines.select("h", "repo").distinct().groupBy("h").agg(F.count("*").alias("df"))
     # Lines of one repository can't point elsewhere; a file with more of them than it may miss
     # is no copy.
-    shared = lines.join(repos.where("df > 1"), "h").groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+    shared = lines.where("not found").join(repos.where("df > 1"), "h").groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     n = F.size("lines")
     spare = n - F.ceil(n * contained).cast("int")
     probes = files.join(shared, "ord").withColumn("unshared", n - F.size("s")).where(F.col("unshared") <= spare)
     probes = probes.select("ord", "repo", "at", F.explode(F.slice("s", F.lit(1), spare - F.col("unshared") + 1)).alias("x")).select("ord", "repo", "at", F.col("x.h").alias("h"))
-    other = lines.toDF("ord2", "repo2", "h")
+    other = lines.select(F.col("ord").alias("ord2"), F.col("repo").alias("repo2"), "h")
     pairs = cut(probes.select("ord", "repo", "h").join(other, "h").where("repo <> repo2").select("ord", "ord2").distinct())
-    a = files.select("ord", F.col("at").alias("at1"), F.col("lines").alias("l1"))
-    b = files.select(F.col("ord").alias("ord2"), F.col("at").alias("at2"), F.col("lines").alias("l2"))
+    a = files.select("ord", "name", F.col("at").alias("at1"), F.col("lines").alias("l1"))
+    b = files.select(F.col("ord").alias("ord2"), F.col("at").alias("at2"), "third", F.col("lines").alias("l2"))
     both = pairs.join(a, "ord").join(b, "ord2")
     later = F.struct(F.col("at1"), F.col("ord")) > F.struct(F.col("at2"), F.col("ord2"))
-    return both.where(later & (F.size(F.array_intersect("l1", "l2")) >= F.size("l1") * contained)).select("ord").distinct()
+    copied = F.when(F.col("third").isNull(), later).otherwise(~F.contains("third", F.regexp_replace("name", "/", "_")))
+    return both.where(copied & (F.size(F.array_intersect("l1", "l2")) >= F.size("l1") * contained)).select("ord").distinct()
 
 
 def not_handwritten(docs: DataFrame, downloads: DataFrame) -> DataFrame:
@@ -180,6 +205,6 @@ def not_handwritten(docs: DataFrame, downloads: DataFrame) -> DataFrame:
 
     files = cut(_scan(docs))
     own = files.where("found").select("ord")
-    of_docs = own.unionByName(foreign_copies(files.where("not found")))
+    of_docs = own.unionByName(foreign_copies(files))
     of_downloads = downloads.where("local_path is not null").select("ord", "local_path").mapInArrow(paths, "ord bigint")
     return of_docs.select(F.lit("documents_raw").alias("tbl"), "ord").unionByName(of_downloads.select(F.lit("download_results").alias("tbl"), "ord"))

@@ -2,7 +2,9 @@
 
 import random
 
-from tamis.llm import leaks, overlap
+from pyspark.sql import functions as F
+
+from tamis.llm import handwritten, leaks, overlap
 
 
 def test_overlap_of_short_and_evenly_edited_pairs(spark):
@@ -40,3 +42,20 @@ def test_leaks_of_a_passage_that_many_items_share(spark):
     docs = [(1, " ".join(make(40) + common[5:25] + make(40))), (2, " ".join(make(40) + edited + make(40))), (3, " ".join(make(40) + common[:7] + make(40)))]
     got = [(r.doc_id, r.item_id) for r in leaks.leaked(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()]
     assert sorted(got) == [(d, i) for d in (1, 2) for i in range(60)]
+
+
+def test_unmarked_copies_of_marked_files(spark):
+    make = lambda n: [f"value_{n}_{i} = compute_the_{n}_of({i * 7919})" for i in range(30)]
+    one, two, three = make("one"), make("two"), make("three")
+    rows = [
+        (1, "a_x", "2022-01-01", "vendor/host.example/up/lib/f.py", one),
+        (2, "b_y", "2021-01-01", "util/f.py", one[:27] + make("edit")[:3]),
+        (3, "c_z", "2022-01-01", "src/g.py", ["# vendored from https://host.example/up/lib", *two]),
+        (4, "d_w", "2021-01-01", "g.py", two),
+        (5, "up_lib", "2021-01-01", "h.py", three),
+        (6, "a_x", "2022-01-01", "vendor/host.example/up/lib/h.py", three),
+    ]
+    docs = spark.createDataFrame([(o, r, a, p, "\n".join(x)) for o, r, a, p, x in rows], "ord bigint, repo string, read_at string, file_path string, content string").withColumn("read_at", F.col("read_at").cast("timestamp"))
+    down = spark.createDataFrame([], "ord bigint, local_path string")
+    got = [r.ord for r in handwritten.not_handwritten(docs, down).collect()]
+    assert sorted(got) == [1, 2, 3, 4, 6]
