@@ -52,7 +52,9 @@ BANNER = re.compile(
 )
 DENIED = re.compile(r"\b(?:not|nothing|never|no|isn't|don't|wasn't|without|by hand)\b(?! (?:edit|modify)\b).{0,40}\b(?:generat|vendored)|written by hand|edit freely|banner of|vendored copy was|do not run|['\"`]do not edit|our own version", re.I)
 COMMENT_LINE = re.compile(r"^\ufeff?\s*(?://|/\*|\*|#|--|;|%|<!--|\"\"\"|'''|REM\b)")
+#: Lines read for a banner at least; comments and blank lines on top are read to their end.
 BANNER_LINES = 15
+DIRECTIVE = re.compile(r"^#\s*(?:include|define|undef|if|ifdef|ifndef|elif|else|endif|pragma|import|error)\b")
 CODE = re.compile(r"\.(?:go|py|js|mjs|jsx|ts|tsx|java|c|h|cc|cpp|hpp|cs|rb|php|rs|kt|swift|scala|m|lua|pl|sh|css)$", re.I)
 LICENCE = re.compile(r"(?:^|/)(?:(?:un)?licen[cs]e|copying|notice)(?:[._-][\w.-]+)?$", re.I)
 #: A line of numbers, bytes, records or encoded data, quoted or not.
@@ -81,10 +83,13 @@ def by_path(path: str | None) -> bool:
 
 def banner(text: str, says: re.Pattern = BANNER) -> str | None:
     """The first line of the comments on top that is a banner."""
-    lines = text.split("\n")
-    inside = False
-    for line in lines[:BANNER_LINES]:
+    lines = text.removeprefix("\ufeff").split("\n")
+    inside = code = False
+    for at, line in enumerate(lines):
         s = line.strip()
+        code = code or bool(s) and not inside and (not COMMENT_LINE.match(line) or bool(DIRECTIVE.match(s)))
+        if code and at >= BANNER_LINES:
+            break
         if inside or COMMENT_LINE.match(line):
             if says.search(line) and not DENIED.search(line):
                 return line

@@ -59,3 +59,13 @@ def test_unmarked_copies_of_marked_files(spark):
     down = spark.createDataFrame([], "ord bigint, local_path string")
     got = [r.ord for r in handwritten.not_handwritten(docs, down).collect()]
     assert sorted(got) == [1, 2, 3, 4, 6]
+
+
+def test_banner_below_a_long_licence_header():
+    header = "".join(f"// Line {i} of the licence, with its usual words.\n" for i in range(30))
+    code = "package a\n\nfunc A() int {\n\treturn 1\n}\n"
+    said = "// Code generated by tool. DO NOT EDIT.\n"
+    assert handwritten.by_content("a/b.go", header + "\n" + said + "\n" + code)
+    assert handwritten.by_content("a/b.c", "/*\n" + header.replace("//", "  ") + "*/\n\n/* @generated by tool */\n" + code)
+    assert not handwritten.by_content("a/b.go", header + "\n" + code + "\n" * 20 + said + code)
+    assert not handwritten.by_content("a/b.go", header + "\n// Not generated by a tool, edit freely.\n" + code)
