@@ -35,17 +35,19 @@ PREFIXED = (
 )
 RE_PREFIXED = re.compile(rf"(?<![A-Za-z0-9_/+-])(?:{PREFIXED})")
 RE_PEM = re.compile(r"-----BEGIN (?P<kind>(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(?P<body>(?:(?!-----BEGIN).)*?)-----END (?P=kind)-----", re.S)
+#: A PEM header in base64, with or without a name.
+RE_ENCODED = re.compile(r"(?<![A-Za-z0-9+/])LS0tLS1CRUdJTi[A-Za-z0-9+/]{40,}={0,2}")
 RE_URL = re.compile(r"[a-z][a-z0-9+.-]*://(?P<user>[^\s:/@\"'`<>]*):(?P<v>[^\s@\"'`]+?)@(?=[\w\[.-])", re.I)
 RE_BASIC = re.compile(r"\bBasic\s+(?P<v>[A-Za-z0-9+/_-]{8,}={0,2})", re.I)
 RE_BEARER = re.compile(r"\b(?:Bearer|Token)\s+(?P<v>[A-Za-z0-9._~+/-]{16,}=*)")
 RE_CONN = re.compile(r"(?:^|[;\"'`\s&?])(?:password|passwd|pwd|accountkey|sharedaccesskey)\s*=\s*(?P<v>[^;\"'`\s&]{4,})\s*[;&]", re.I)
 #: name = "value": in code, JSON, maps and calls; the value may be split over lines.
-RE_QUOTED = re.compile(rf"(?<![A-Za-z0-9_.-])(?P<nq>[\"'`])?(?P<n>{NAME})(?(nq)(?P=nq))\]?\s*(?::=|=>|==?|:|,|\s)\s*\(?\s*(?:[a-zA-Z]{{0,2}})?(?P<q>[\"'`])(?P<v>[^\"'`\n]{{1,400}})(?P=q)", re.I)
-RE_BARE = re.compile(rf"^[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+)?(?P<n>{NAME})[ \t]*[:=][ \t]*(?P<v>[^\s\"'`#({{\[<][^\s\"'`]{{3,400}})[ \t]*(?:#.*)?\r?$", re.I | re.M)
+RE_QUOTED = re.compile(rf"(?<![A-Za-z0-9_.-])(?P<nq>[\"'`])?(?P<n>{NAME})(?(nq)(?P=nq))\]?\s*(?::=|=>|==?|:|,|\s)\s*\(?\s*(?:[a-zA-Z]{{0,2}})?(?P<q>[\"'`])(?P<v>[^\"'`\n]+)(?P=q)", re.I)
+RE_BARE = re.compile(rf"^[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+)?(?P<n>{NAME})[ \t]*[:=][ \t]*(?P<v>[^\s\"'`#({{\[<][^\s\"'`]{{3,}})[ \t]*(?:#.*)?\r?$", re.I | re.M)
 #: In comments and prose.
 RE_SAYS = re.compile(
-    r"\b(?:password|passwd|passphrase|pass|pwd|secret|token|key|credentials?)\b(?:[ \t]+(?:is|was|are|for \S+ is|to use is|set to))?[ \t]*[:=]?[ \t]+(?!(?:password|passwd|passphrase|pass|pwd|secret|token|key|is|was|and|or)\b)[\"'`]?(?P<v>[^\s\"'`,;()]{7,200})"
-    r"|\blog ?in\b[^\n]{0,60}?[:=]\s*\S{1,60}\s*/\s*(?P<v2>[^\s\"'`,;]{7,200})|(?:^|\s)-u\s+[\"']?[^\s:\"']{1,60}:(?P<v3>[^\s\"'`]{6,200})|(?:^|\s)(?:--password|--pass|--token|--api-key)(?:=|\s+)[\"']?(?P<v4>[^\s\"'`]{7,200})|\b(?:mysql\w*|mariadb|sshpass|redis-cli)\b[^\n]{0,120}?\s-[pa]\s?(?P<v5>[^\s\"'`-][^\s\"'`]{5,200})",
+    r"\b(?:password|passwd|passphrase|pass|pwd|secret|token|key|credentials?)\b(?:[ \t]+(?:is|was|are|for \S+ is|to use is|set to))?[ \t]*[:=]?[ \t]+(?!(?:password|passwd|passphrase|pass|pwd|secret|token|key|is|was|and|or)\b)[\"'`]?(?P<v>[^\s\"'`,;()]{7,})"
+    r"|\blog ?in\b[^\n]{0,60}?[:=]\s*\S{1,60}\s*/\s*(?P<v2>[^\s\"'`,;]{7,})|(?:^|\s)-u\s+[\"']?[^\s:\"']{1,60}:(?P<v3>[^\s\"'`]{6,})|(?:^|\s)(?:--password|--pass|--token|--api-key)(?:=|\s+)[\"']?(?P<v4>[^\s\"'`]{7,})|\b(?:mysql\w*|mariadb|sshpass|redis-cli)\b[^\n]{0,120}?\s-[pa]\s?(?P<v5>[^\s\"'`-][^\s\"'`]{5,})",
     re.I,
 )
 #: A string that goes on in the next literal.
@@ -59,7 +61,7 @@ PLACEHOLDER = re.compile(
 )
 LOOKUP = re.compile(r"(?:os\.|process\.env|getenv|environ|env\[|config\.|settings\.|secrets?\.|vault|viper|System\.|\bself\.|\bthis\.|\breq\.|\bctx\.|params?\.|\w+\(|\w+\[|::|->|=>|\bnew )", re.I)
 UUID = re.compile(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", re.I)
-HINTS = ["pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "basic ", "://", "-----begin", "sk-", "rk-", "sk_", "rk_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "xapp-", "akia", "asia", "aiza", "ya29.", "eyj", "hf_", "npm_", "pypi-", "sg.", "dop_v1_", "login", "log in", "-u ", "mysql", "agpa", "aida", "aroa"]
+HINTS = ["pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "basic ", "://", "-----begin", "ls0tls1crudjti", "sk-", "rk-", "sk_", "rk_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "xapp-", "akia", "asia", "aiza", "ya29.", "eyj", "hf_", "npm_", "pypi-", "sg.", "dop_v1_", "login", "log in", "-u ", "mysql", "agpa", "aida", "aroa"]
 
 
 @lru_cache(maxsize=2)
@@ -136,6 +138,12 @@ def _pem_ok(body: str) -> bool:
     return sum(map(len, data)) >= 64 and len(data) >= 0.8 * len(lines) and len({c for x in data for c in x}) >= 16
 
 
+def _encoded_ok(v: str) -> bool:
+    """A private key given in full, in base64."""
+    m = RE_PEM.search(base64.b64decode(v.rstrip("=") + "=" * (-len(v.rstrip("=")) % 4)).decode("latin-1")) if len(v.rstrip("=")) % 4 != 1 else None
+    return bool(m and _pem_ok(m["body"]))
+
+
 def _name_ok(n: str) -> bool:
     flat = n.strip("\"'`").rstrip("_-.$")
     last = re.split(r"[.$]", flat)[-1]
@@ -172,6 +180,10 @@ def spans(text: str | None, vocabulary: str = VOCABULARY) -> list[tuple[int, int
         for m in RE_PEM.finditer(plain):
             if _pem_ok(m["body"]):
                 keep(m, 0)
+    if "ls0tls1crudjti" in low:
+        for m in RE_ENCODED.finditer(plain):
+            if _encoded_ok(m.group()):
+                keep(m, 0)
     masked = [m.span() for m in re.finditer(r"-----BEGIN [A-Z0-9 ]+-----.*?-----END [A-Z0-9 ]+-----", plain, re.S)] if "-----begin" in low else []
     for m in RE_PREFIXED.finditer(plain):
         v = m.group()
