@@ -1,8 +1,8 @@
 """Problem 2: credentials in source files and answers, and their redaction.
 
-Strings are scored by characters per subword of a public vocabulary: natural words take few
-subwords, random ones many. What a string is then follows from its context (name, header,
-address, comment, known prefix), and what is found is masked character for character, so that
+Context (name, header, address, comment, known prefix) proposes strings, and characters per subword of a
+public vocabulary judge those that context leaves open: natural words take few subwords, random
+ones many. Random strings without such context aren't looked at. What is found is masked character for character, so that
 every other character keeps its place.
 """
 
@@ -21,7 +21,7 @@ from tamis.plans.runtime import spread
 
 #: A string with fewer characters per subword than this looks random.
 UNNATURAL = 2.6
-#: Shortest password, and shortest string without a name that tells what it is.
+#: Shortest password, and shortest string that its score alone may tell from words.
 LEAST_CHARS, LEAST_RANDOM = 7, 16
 
 #: Names of secrets; and endings that make a name something else.
@@ -61,7 +61,7 @@ PLACEHOLDER = re.compile(
 )
 LOOKUP = re.compile(r"(?:os\.|process\.env|getenv|environ|env\[|config\.|settings\.|secrets?\.|vault|viper|System\.|\bself\.|\bthis\.|\breq\.|\bctx\.|params?\.|\w+\(|\w+\[|::|->|=>|\bnew )", re.I)
 UUID = re.compile(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", re.I)
-HINTS = ["pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "basic ", "://", "-----begin", "ls0tls1crudjti", "sk-", "rk-", "sk_", "rk_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "xapp-", "akia", "asia", "aiza", "ya29.", "eyj", "hf_", "npm_", "pypi-", "sg.", "dop_v1_", "login", "log in", "-u ", "mysql", "agpa", "aida", "aroa"]
+HINTS = ["pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "basic ", "://", "-----begin", "ls0tls1crudjti", "sk-", "rk-", "sk_", "rk_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "xapp-", "akia", "asia", "aiza", "ya29.", "eyj", "hf_", "npm_", "pypi-", "sg.", "dop_v1_", "login", "log in", "-u ", "mysql", "mariadb", "redis-cli", "agpa", "aida", "aroa"]
 
 
 @lru_cache(maxsize=2)
@@ -216,7 +216,7 @@ def spans(text: str | None, vocabulary: str = VOCABULARY) -> list[tuple[int, int
             if "://" in v or v.startswith(("Basic", "Bearer", "Server=", "data:")):
                 continue
             keep(m)
-    if any(w in low for w in ("pass", "pwd", "secret", "token", "key", "login", "log in", "-u ", " -p", "credential")):
+    if any(w in low for w in ("pass", "pwd", "secret", "token", "key", "login", "log in", "-u ", " -p", " -a", "mysql", "mariadb", "redis-cli", "credential")):
         for m in RE_SAYS.finditer(plain):
             g = next(k for k in ("v", "v2", "v3", "v4", "v5") if m[k] is not None)
             v = m[g]

@@ -82,3 +82,8 @@ def test_long_credentials():
         red = secrets.redact("first line\n" + text)
         assert len(red) == len("first line\n" + text) and not any(long[i : i + 12] in red or pem[i : i + 12] in red for i in range(0, 2040, 12))
     assert secrets.spans('cert = "' + base64.b64encode(f"-----BEGIN CERTIFICATE-----\n{body}\n-----END CERTIFICATE-----\n".encode()).decode() + '"') == []
+
+
+def test_passwords_of_clients_without_a_name():
+    assert len(secrets.spans("redis-cli -h a.example -a S3crQ7xv2Lm9sTz")) == 1
+    assert len(secrets.spans("mariadb -h a.example -pqi2bF5tnPYsT db")) == 1
