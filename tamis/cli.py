@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--threshold", type=float, default=0.6)
         s.add_argument("--val-ratio", type=float, default=0.1)
         s.add_argument("--formats", default="jsonl")
+        s.add_argument("--split-mode", default="shuffle", choices=["shuffle", "hash"])
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("tamis").getOrCreate()
     from tamis.operators import build, clean, pairs
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "refine":
         pipeline.refined(read(a.path), {"judge_threshold": a.threshold}).write.mode("overwrite").parquet(a.output)
     elif a.command == "build":
-        print(json.dumps(build.build(read(a.path), a.name, a.output, val_ratio=a.val_ratio, formats=tuple(a.formats.split(","))), indent=2))
+        print(json.dumps(build.build(read(a.path), a.name, a.output, val_ratio=a.val_ratio, formats=tuple(a.formats.split(",")), mode=a.split_mode), indent=2))
     else:
         print(json.dumps(pipeline.run(spark, pipeline.load_config(a.config)), indent=2))
     return 0

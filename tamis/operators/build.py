@@ -16,8 +16,7 @@ from tamis.plans.runtime import cut
 
 SYSTEM_PROMPT = "You are a careful programming assistant."
 FIELDS = ["instruction", "response", "context", "messages"]
-#: Up to so many records the split is the seeded shuffle of positions; beyond it, the order of a
-#: hash of seed and key, which needs no list on the driver.
+#: Records up to which the seeded shuffle, a list on the driver, is made; more must ask for ``hash``.
 SHUFFLE_ROWS = 5_000_000
 
 
@@ -45,18 +44,21 @@ def check_ratio(val_ratio: float) -> None:
         raise ValueError("val_ratio must be in [0, 1)")
 
 
-def split(recs: DataFrame, order: str, val_ratio: float = 0.1, seed: int = 42, mode: str = "auto") -> DataFrame:
+def split(recs: DataFrame, order: str, val_ratio: float = 0.1, seed: int = 42, mode: str = "shuffle") -> DataFrame:
     """``recs`` with ``split`` and ``pos``, the place in its split.
 
     ``shuffle``: the seeded shuffle of the positions 0..n-1; its first int(n * ratio) places are
     validation. ``hash``: the int(n * ratio) rows with the least hash of seed and key. Both
-    depend on order keys only, never on partitioning.
+    depend on order keys only, never on partitioning. The mode never changes with the size: a shuffle
+    of more than SHUFFLE_ROWS records raises.
     """
     check_ratio(val_ratio)
+    if mode not in ("shuffle", "hash"):
+        raise ValueError("mode must be shuffle or hash")
     n = recs.count()
     n_val = int(n * val_ratio)
-    if mode == "auto":
-        mode = "shuffle" if n <= SHUFFLE_ROWS else "hash"
+    if mode == "shuffle" and n > SHUFFLE_ROWS:
+        raise ValueError(f"{n} records are too many to shuffle; ask for mode 'hash'")
     spark = recs.sparkSession
     placed = _positions(recs, [F.col(order)] if mode == "shuffle" else [F.sha2(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string")), 256), F.col(order)])
     if mode == "shuffle":
@@ -151,12 +153,12 @@ def file_entry(spark: SparkSession, path: str, split_name: str, fmt: str, count:
     return {"path": p.getName(), "split": split_name, "format": fmt, "records": count, "bytes": size, "sha256": digest.hexdigest()}
 
 
-def build(pairs: DataFrame, name: str, out: str, order: str = "ord", val_ratio: float = 0.1, seed: int = 42, formats: Iterable[str] = ("jsonl",), stats: dict | None = None, system_prompt: str = SYSTEM_PROMPT, on_error: str = "raise") -> dict:
+def build(pairs: DataFrame, name: str, out: str, order: str = "ord", val_ratio: float = 0.1, seed: int = 42, formats: Iterable[str] = ("jsonl",), stats: dict | None = None, system_prompt: str = SYSTEM_PROMPT, on_error: str = "raise", mode: str = "shuffle") -> dict:
     """Writes ``<name>.<split>.<format>`` and ``<name>.manifest.json``; returns the manifest. An empty
     validation split isn't written, an empty training split is."""
     check_ratio(val_ratio)
     spark = pairs.sparkSession
-    done = cut(split(records(pairs, [order], system_prompt, on_error), order, val_ratio, seed))
+    done = cut(split(records(pairs, [order], system_prompt, on_error), order, val_ratio, seed, mode))
     sizes = dict(split_sizes(done).collect())
     counts = {"train": sizes.get("train", 0), "validation": sizes.get("validation", 0)}
     files = []

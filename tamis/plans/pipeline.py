@@ -18,6 +18,10 @@ from tamis.plans.runtime import cut
 from tamis.sources import fetch, get_source
 
 
+#: Repositories whose documents are written at once, so that no plan grows with their number.
+BLOCK = 200
+
+
 @dataclass
 class Config:
     """``mode`` is generate or import; None: import for hub sources."""
@@ -36,6 +40,8 @@ class Config:
     val_ratio: float = 0.1
     seed: int = 42
     formats: tuple[str, ...] = ("jsonl",)
+    #: shuffle, or hash for sets beyond build.SHUFFLE_ROWS.
+    split_mode: str = "shuffle"
 
 
 def load_config(path: str) -> Config:
@@ -79,6 +85,17 @@ def generated(docs: DataFrame, roles: list[str], max_pairs_per_doc: int = 1, sam
     return pairs if max_pairs is None else G.capped_rows(pairs, [order, "role_ord", "slot"], max_pairs)
 
 
+def walked(spark: SparkSession, repos: DataFrame, block: int = BLOCK) -> DataFrame | None:
+    """Documents of all repositories, however many, written block by block; None without any."""
+    both = lambda a, b: b if a is None else a.unionByName(b)
+    done = part = None
+    for n, r in enumerate(repos.toLocalIterator(), 1):  # repositories, not rows
+        part = both(part, fetch.walk(spark, r["local_path"], r["id"].replace("/", "_"), license_=r["license"]))
+        if n % block == 0:
+            done, part = both(done, cut(part)), None
+    return done if part is None else both(done, part)
+
+
 def run(spark: SparkSession, cfg: Config) -> dict:
     """Runs a route and returns the manifest."""
     mode = cfg.mode or ("import" if cfg.source == "huggingface" else "generate")
@@ -88,12 +105,9 @@ def run(spark: SparkSession, cfg: Config) -> dict:
         done = cut(P.import_clean(found, order))
         stats = C.clean_stats(done).first().asDict()
         pairs = refined(C.kept(done), cfg.refine)
-        return B.build(pairs, cfg.name, cfg.out, order, cfg.val_ratio, cfg.seed, cfg.formats, stats)
+        return B.build(pairs, cfg.name, cfg.out, order, cfg.val_ratio, cfg.seed, cfg.formats, stats, mode=cfg.split_mode)
     results = fetch.with_license(fetch.clone(found, f"{cfg.out}/raw"), found.withColumns({"ord": F.lit(0), "found_at": F.lit(0)}))
-    docs = None
-    for r in results.where("status in ('success', 'cached')").limit(100_000).collect():  # repositories, not rows
-        d = fetch.walk(spark, r["local_path"], r["id"].replace("/", "_"), license_=r["license"])
-        docs = d if docs is None else docs.unionByName(d)
+    docs = walked(spark, cut(results.where("status in ('success', 'cached')").select("id", "local_path", "license")))
     if docs is None:
         raise ValueError("no repository could be read")
     docs = docs.withColumn("ord", F.xxhash64("id"))
@@ -101,4 +115,4 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     stats = C.clean_stats(done).first().asDict()
     pairs = generated(C.kept(done), cfg.roles, max_pairs=cfg.max_pairs)
     pairs = pairs.withColumn("ord", F.xxhash64("id", "role_ord", "slot"))
-    return B.build(refined(pairs, cfg.refine), cfg.name, cfg.out, "ord", cfg.val_ratio, cfg.seed, cfg.formats, stats)
+    return B.build(refined(pairs, cfg.refine), cfg.name, cfg.out, "ord", cfg.val_ratio, cfg.seed, cfg.formats, stats, mode=cfg.split_mode)
