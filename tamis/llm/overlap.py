@@ -11,6 +11,8 @@ candidates out, and an edit distance on the words of both sides decides.
 
 Both sides of a pair must agree, so one is enough to find all candidates: the instruction, or the
 response if that is longer and the instruction has under SHORT words or none.
+
+Left out: summing the lengths of shared chunks into overlap fractions of records; the report counts rows.
 """
 
 from __future__ import annotations
@@ -25,9 +27,6 @@ from pyspark.sql import functions as F
 
 from tamis.plans.runtime import cut, spread, written
 
-#: A chunk ends where the rolling hash of two words is divisible by this, after so many words
-#: at least and at most.
-CUT_EVERY, LEAST_WORDS, MOST_WORDS = 2, 2, 24
 #: Training rows with fewer words of instruction are found by their response, if that is longer.
 SHORT = 8
 #: Up to so many candidate rows the scan for their texts is narrowed by a broadcast; beyond, by
@@ -74,51 +73,6 @@ def words(text: str | None) -> list[int]:
     return [hashes[w] for w in _WORD.findall(text.lower())]
 
 
-def chunks(sides: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Content-defined chunks of many word sequences: (sequence, digest, words) of each chunk."""
-    size = np.array([len(s) for s in sides], np.int64)
-    n = int(size.sum())
-    if not n:
-        e = np.empty(0, np.int64)
-        return e, e.copy(), e.copy()
-    h = np.fromiter((w for s in sides for w in s), np.uint64, n)
-    seq = np.repeat(np.arange(len(sides)), size)
-    first = np.zeros(n, bool)
-    first[(np.cumsum(size) - size)[size > 0]] = True
-    with np.errstate(over="ignore"):
-        before = np.concatenate([[np.uint64(0)], h[:-1]])
-        roll = (h * np.uint64(0x9E3779B97F4A7C15) + before * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (h >> np.uint64(29))
-        roll ^= roll >> np.uint64(32)
-        want = (roll % np.uint64(CUT_EVERY)) == 0
-    # Greedy pass for the least and most words: cuts are few, so it goes cut by cut.
-    begins = first.copy()
-    cand = np.flatnonzero(want | np.concatenate([first[1:], [True]]))
-    start = 0
-    last_of = np.concatenate([first[1:], [True]])
-    marks = []
-    for c in cand.tolist():
-        while c + 1 - start > MOST_WORDS:
-            start += MOST_WORDS
-            marks.append(start)
-        if last_of[c]:
-            start = c + 1
-        elif c + 1 - start >= LEAST_WORDS:
-            start = c + 1
-            marks.append(start)
-    begins[np.array(marks, np.int64)] = True
-    at = np.flatnonzero(begins)
-    length = np.diff(np.append(at, n))
-    place = np.arange(n) - np.repeat(at, length)
-    with np.errstate(over="ignore"):
-        salt = (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-        x = (h ^ (h >> np.uint64(31))) * salt
-        x ^= x >> np.uint64(28)
-        digest = np.add.reduceat(x, at)
-        digest ^= digest >> np.uint64(33)
-        digest *= np.uint64(0xFF51AFD7ED558CCD)
-    return seq[at], digest.view(np.int64), length
-
-
 def edit_distance(a: list[int], b: list[int], most: int) -> int:
     """Word edit distance, or more than ``most``; columns of the matrix are bits."""
     if abs(len(a) - len(b)) > most:
