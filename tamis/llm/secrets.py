@@ -1,9 +1,11 @@
 """Problem 2: credentials in source files and answers, and their redaction.
 
-Context (name, header, address, comment, known prefix) proposes strings, and characters per subword of a
-public vocabulary judge those that context leaves open: natural words take few subwords, random
-ones many. Random strings without such context aren't looked at. What is found is masked character for character, so that
-every other character keeps its place.
+Characters per subword of a public vocabulary tell unnatural strings from words: natural text takes
+few subwords, random strings many. Every long unnatural string is a credential unless its context
+says otherwise (a name or address of a hash, id, certificate, picture or version, a row of data).
+Context then adds what is too short for the score alone: passwords by their name, header, address,
+command or comment. What is found is masked character for character; quotes, escapes of line ends, the
+operators between joined literals and every other character keep their place.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from tamis.plans.runtime import spread
 
 #: A string with fewer characters per subword than this looks random.
 UNNATURAL = 2.6
+#: Without a name that tells, a string must look clearly random, and isn't longer than a key.
+STRANGE, LONGEST = 2.2, 128
 #: Shortest password, and shortest string that its score alone may tell from words.
 LEAST_CHARS, LEAST_RANDOM = 7, 16
 
@@ -42,7 +46,7 @@ RE_BASIC = re.compile(r"\bBasic\s+(?P<v>[A-Za-z0-9+/_-]{8,}={0,2})", re.I)
 RE_BEARER = re.compile(r"\b(?:Bearer|Token)\s+(?P<v>[A-Za-z0-9._~+/-]{16,}=*)")
 RE_CONN = re.compile(r"(?:^|[;\"'`\s&?])(?:password|passwd|pwd|accountkey|sharedaccesskey)\s*=\s*(?P<v>[^;\"'`\s&]{4,})\s*[;&]", re.I)
 #: name = "value": in code, JSON, maps and calls; the value may be split over lines.
-RE_QUOTED = re.compile(rf"(?<![A-Za-z0-9_.-])(?P<nq>[\"'`])?(?P<n>{NAME})(?(nq)(?P=nq))\]?\s*(?::=|=>|==?|:|,|\s)\s*\(?\s*(?:[a-zA-Z]{{0,2}})?(?P<q>[\"'`])(?P<v>[^\"'`\n]+)(?P=q)", re.I)
+RE_QUOTED = re.compile(rf"(?<![A-Za-z0-9_.-])(?P<nq>[\"'`])?(?P<n>{NAME})(?(nq)(?P=nq))\]?\s*(?::=|=>|==?|:|,|\s)\s*\(?\s*(?:[a-zA-Z]{{0,2}})?(?P<q>[\"'`])(?P<v>(?:[^\"'`\\\n]|\\[^\n]|(?!(?P=q))[\"'`])+)(?P=q)", re.I)
 RE_BARE = re.compile(rf"^[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+)?(?P<n>{NAME})[ \t]*[:=][ \t]*(?P<v>[^\s\"'`#({{\[<][^\s\"'`]{{3,}})[ \t]*(?:#.*)?\r?$", re.I | re.M)
 #: In comments and prose.
 RE_SAYS = re.compile(
@@ -59,8 +63,16 @@ PLACEHOLDER = re.compile(
     r"|change[ _-]?me|change[ _-]?it|replace[ _-]?(?:me|this|with)|place[ _-]?holder|\bexample\b|example[ _-]?(?:only|key|token)|\bdummy\b|\bfake\b|\bsample\b|not[ _-]?a[ _-]?real|redacted|\binsert\b|^your?[ _-]|[ _-]here$|your[ _-](?:api|token|secret|password|key)|^todo\b|^tbd$|^none$|^null$|^undefined$|^nil$|^true$|^false$|^test(?:ing)?$|^secret$|^password$|^token$|^hunter2$|xxxx|^abc123$|^foo(?:bar)?$|\bmasked\b|\bremoved\b",
     re.I,
 )
+#: Words of texts about passwords, and of settings.
+SPEAKS = re.compile(r"\b(?:enter|your|the|this|that|must|should|is|are|was|be|for|not|no|wrong|invalid|please|type|choose|forgot|forgotten|new|old|current|confirm|repeat|again|required|reset|change|password|passphrase|secret|token|key|user|field|match|empty|missing|incorrect|strong|weak|optional|disabled|enabled|prompt|plain|plaintext|internal|external|postgres|database|encrypted|unset|default)\b", re.I)
 LOOKUP = re.compile(r"(?:os\.|process\.env|getenv|environ|env\[|config\.|settings\.|secrets?\.|vault|viper|System\.|\bself\.|\bthis\.|\breq\.|\bctx\.|params?\.|\w+\(|\w+\[|::|->|=>|\bnew )", re.I)
 UUID = re.compile(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", re.I)
+#: Runs of characters that keys are written in; what stands before a run that is no key; address lines.
+RE_RUN = re.compile(r"(?<![A-Za-z0-9_+/.%-])[A-Za-z0-9_+/-]{16,}={0,2}(?![A-Za-z0-9_+/=.%-])")
+HARMLESS = re.compile(
+    r"hash|sha|md5|digest|check_?sum|e_?tag|integrity|finger_?print|commit|revision|\brev\b|uuid|guid|(?:^|[^a-z])(?:x_)?ids?(?:[^a-z]|$)|nonce|salt|cert|public|\bpub|ssh_|data:|base64|icon|logo|pixel|image|\bimg|png|jpe?g|gif|font|\bhex|crc|build|version|seed|cursor|anchor|trace|request|tenant|sess|signature|vector|table|blob|payload|\bdata\b|://",
+    re.I,
+)
 HINTS = ["pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "basic ", "://", "-----begin", "ls0tls1crudjti", "sk-", "rk-", "sk_", "rk_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "xapp-", "akia", "asia", "aiza", "ya29.", "eyj", "hf_", "npm_", "pypi-", "sg.", "dop_v1_", "login", "log in", "-u ", "mysql", "mariadb", "redis-cli", "agpa", "aida", "aroa"]
 
 
@@ -97,6 +109,39 @@ def is_random(v: str, vocabulary: str = VOCABULARY) -> bool:
     return len(v) >= LEAST_RANDOM and any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and chars_per_subword(v, vocabulary) < UNNATURAL and len(set(v)) >= 8
 
 
+def unnatural(text: str, vocabulary: str = VOCABULARY) -> list[tuple[int, int]]:
+    """Where long strings stand that read like no words: letters of both cases and digits, mixed, and few
+    characters per subword. Text in hexadecimal reads the same whether key, hash or id, and isn't among them."""
+    out = []
+    for m in RE_RUN.finditer(text):
+        v = m.group()
+        if len(v) <= LONGEST and len(re.findall(r"\d+", v)) >= 3 and len(re.findall(r"[a-z](?=[A-Z0-9])|[A-Z0-9](?=[a-z])", v)) >= 3 and len(re.findall("[A-Z]", v)) >= 2 and len(re.findall("[a-z]", v)) >= 2 and len(set(v)) >= 10 and chars_per_subword(v, vocabulary) < STRANGE:
+            out.append(m.span())
+    return out
+
+
+def tells_of_data(text: str, s: int, e: int) -> bool:
+    """The line around an unnatural string says that it is no key: a name of something else before it,
+    or nothing beside it, as in rows of data."""
+    a, b = text.rfind("\n", 0, s) + 1, text.find("\n", e)
+    before, after = text[a:s], text[e : len(text) if b < 0 else b]
+    rest = before + after
+    if not re.search(r"[A-Za-z]", rest) or not re.search(r"[\"'`=:(\s]$", before):
+        return True
+    name = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", before[-80:])
+    return bool(HARMLESS.search(name.replace("-", "_"))) or len(RE_RUN.findall(rest)) > 1 or is_placeholder(text[s:e])
+
+
+def is_phrase(name: str, v: str) -> bool:
+    """A passphrase of plain words under the name of a password: three words or more that don't speak
+    about passwords, or in a setting (upper-case name) a word of its own."""
+    if not re.search(r"pass(?:wd|word|phrase)?$|pwd$", name, re.I) or is_placeholder(v) or SPEAKS.search(v):
+        return False
+    if re.fullmatch(r"[A-Za-z]+(?:[ -][A-Za-z]+){2,7}", v):
+        return v == v.lower() or "-" in v
+    return name.isupper() and bool(re.fullmatch(r"[a-z]{8,}", v))
+
+
 def is_placeholder(v: str) -> bool:
     return bool(PLACEHOLDER.search(v))
 
@@ -152,39 +197,63 @@ def _name_ok(n: str) -> bool:
     return not NOT_A_SECRET.search(re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", last).lower().rsplit("_", 1)[-1] if re.search(r"[_-]|[a-z][A-Z]", last) else last)
 
 
-def spans(text: str | None, vocabulary: str = VOCABULARY) -> list[tuple[int, int]]:
-    """Where credentials stand in a text, as (start, end) of their characters, in order and
-    without overlap. A credential that is split over lines is one span from its first character."""
-    if not text or next(_hints().iter(text.lower()), None) is None:
-        return []
-    at, plain = None, text
-    if RE_SPLIT.search(text):
-        # Literals that go on are joined; at[i] is the place of plain[i] in the text.
-        cut, at, pieces, last = [], [], [], 0
-        for m in RE_SPLIT.finditer(text):
-            cut.append((m.start(), m.end()))
-        for s, e in cut:
-            pieces.append(text[last:s])
-            at.extend(range(last, s))
-            last = e
-        pieces.append(text[last:])
-        at.extend(range(last, len(text)))
-        plain = "".join(pieces)
+def _joined(text: str) -> tuple[str, list[int] | None]:
+    """The text with literals that go on joined, and the place in the text of each of its characters."""
+    if not RE_SPLIT.search(text):
+        return text, None
+    at: list[int] = []
+    pieces, last = [], 0
+    for m in RE_SPLIT.finditer(text):
+        pieces.append(text[last : m.start()])
+        at.extend(range(last, m.start()))
+        last = m.end()
+    pieces.append(text[last:])
+    at.extend(range(last, len(text)))
+    return "".join(pieces), at
+
+
+def _found(plain: str, vocabulary: str) -> list[tuple[int, int]]:
+    """Credentials in a text whose literals are joined, in order and without overlap."""
     low = plain.lower()
+    hinted = next(_hints().iter(low), None) is not None
+    strange = unnatural(plain, vocabulary)
+    if not hinted and not strange:
+        return []
     found: list[tuple[int, int]] = []
 
     def keep(m: re.Match, group: str | int = "v") -> None:
         found.append(m.span(group))
 
-    if "private key" in low:
-        for m in RE_PEM.finditer(plain):
-            if _pem_ok(m["body"]):
-                keep(m, 0)
-    if "ls0tls1crudjti" in low:
-        for m in RE_ENCODED.finditer(plain):
-            if _encoded_ok(m.group()):
-                keep(m, 0)
-    masked = [m.span() for m in re.finditer(r"-----BEGIN [A-Z0-9 ]+-----.*?-----END [A-Z0-9 ]+-----", plain, re.S)] if "-----begin" in low else []
+    armored = [m.span() for m in re.finditer(r"-----BEGIN [A-Z0-9 ]+-----.*?-----END [A-Z0-9 ]+-----", plain, re.S)] if "-----begin" in low else []
+    for s, e in strange:
+        if not tells_of_data(plain, s, e):
+            found.append((s, e))
+    if hinted:
+        if "private key" in low:
+            for m in RE_PEM.finditer(plain):
+                if _pem_ok(m["body"]):
+                    keep(m, 0)
+        if "ls0tls1crudjti" in low:
+            for m in RE_ENCODED.finditer(plain):
+                if _encoded_ok(m.group()):
+                    keep(m, 0)
+        _by_form(plain, low, vocabulary, keep)
+        _by_name(plain, vocabulary, keep)
+        if any(w in low for w in ("pass", "pwd", "secret", "token", "key", "login", "log in", "-u ", " -p", " -a", "mysql", "mariadb", "redis-cli", "credential")):
+            found += _said(plain, vocabulary)
+    found = [(s, e) for s, e in found if not any(a < s and e < b for a, b in armored if (a, b) not in found)]
+    found.sort(key=lambda x: (x[0], -x[1]))
+    out: list[tuple[int, int]] = []
+    for s, e in found:
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _by_form(plain: str, low: str, vocabulary: str, keep) -> None:
+    """Known prefixes, addresses, headers and connection strings."""
     for m in RE_PREFIXED.finditer(plain):
         v = m.group()
         if len(set(v)) >= 10 and not is_placeholder(v[3:]) and (any(c.isdigit() for c in v[3:]) or chars_per_subword(v, vocabulary) < UNNATURAL):
@@ -206,64 +275,95 @@ def spans(text: str | None, vocabulary: str = VOCABULARY) -> list[tuple[int, int
         for m in RE_CONN.finditer(plain):
             if not is_placeholder(m["v"]) and not LOOKUP.search(m["v"]) and m["v"].lower() not in ("password", "secret"):
                 keep(m)
+
+
+def _by_name(plain: str, vocabulary: str, keep) -> None:
+    """Values under names of secrets."""
     for rx in (RE_QUOTED, RE_BARE):
         for m in rx.finditer(plain):
             v = m["v"]
-            if not _name_ok(m["n"]) or not is_password(v, vocabulary):
+            if not _name_ok(m["n"]) or not is_password(v, vocabulary) and not is_phrase(m["n"], v):
                 continue
             if rx is RE_BARE and (LOOKUP.search(v) or v.endswith((";", ",", "{", ")")) and not re.search(r"\d", v) or re.search(r"[(){}\[\]]|:=", v)):
                 continue
-            if "://" in v or v.startswith(("Basic", "Bearer", "Server=", "data:")):
+            if "://" in v or v.startswith(("Basic", "Bearer", "Server=", "data:")) or "-----BEGIN" in v:
                 continue
             keep(m)
-    if any(w in low for w in ("pass", "pwd", "secret", "token", "key", "login", "log in", "-u ", " -p", " -a", "mysql", "mariadb", "redis-cli", "credential")):
-        for m in RE_SAYS.finditer(plain):
-            g = next(k for k in ("v", "v2", "v3", "v4", "v5") if m[k] is not None)
-            v = m[g]
-            end = m.end(g)
-            while v and v[-1] in ",;:)":
-                v, end = v[:-1], end - 1
-            said = v
-            if said.endswith(".") and end == m.end(g) and not re.search(r"[!?#$%^&*@_+=-]|\d\.$", said):
-                said, end = said[:-1], end - 1
-            if not is_password(said, vocabulary) or LOOKUP.search(said) or re.search(r"[(){}\[\]<>]|://|:=|==", said) or re.search(r"\.(?:go|py|js|ts|md|txt|json|ya?ml)\b", said):
-                continue
-            if g == "v" and not (any(c.isdigit() for c in said) and (_kinds(said) >= 3 or "-" in said or len(said) >= 10) or is_random(said, vocabulary) or _kinds(said) >= 3):
-                continue
-            if g == "v" and re.fullmatch(r"[A-Za-z]*[a-z_]+\d+|[a-z]+[A-Z]\w*|\w+[.]\w+(?:[.]\w+)*", said) and not is_random(said, vocabulary) and not re.search(r"\d{3,}", said):
-                continue
-            found.append((m.start(g), end))
-    if not found:
-        return []
-    found = [(s, e) for s, e in found if not any(a < s and e < b for a, b in masked if (a, b) not in found)]
-    if at is not None:
-        found = [(at[s], at[e - 1] + 1) for s, e in found]
-    found.sort(key=lambda x: (x[0], -x[1]))
-    out: list[tuple[int, int]] = []
-    for s, e in found:
-        if out and s < out[-1][1]:
-            out[-1] = (out[-1][0], max(e, out[-1][1]))
-        else:
-            out.append((s, e))
+
+
+def _said(plain: str, vocabulary: str) -> list[tuple[int, int]]:
+    """Passwords in comments, prose and commands."""
+    out = []
+    for m in RE_SAYS.finditer(plain):
+        g = next(k for k in ("v", "v2", "v3", "v4", "v5") if m[k] is not None)
+        v = m[g]
+        end = m.end(g)
+        while v and v[-1] in ",;:)":
+            v, end = v[:-1], end - 1
+        said = v
+        if said.endswith(".") and end == m.end(g) and not re.search(r"[!?#$%^&*@_+=-]|\d\.$", said):
+            said, end = said[:-1], end - 1
+        if not is_password(said, vocabulary) or LOOKUP.search(said) or re.search(r"[(){}\[\]<>]|://|:=|==", said) or re.search(r"\.(?:go|py|js|ts|md|txt|json|ya?ml)\b", said):
+            continue
+        if g == "v" and not (any(c.isdigit() for c in said) and (_kinds(said) >= 3 or "-" in said or len(said) >= 10) or is_random(said, vocabulary) or _kinds(said) >= 3):
+            continue
+        if g == "v" and re.fullmatch(r"[A-Za-z]*[a-z_]+\d+|[a-z]+[A-Z]\w*|\w+[.]\w+(?:[.]\w+)*", said) and not is_random(said, vocabulary) and not re.search(r"\d{3,}", said):
+            continue
+        out.append((m.start(g), end))
     return out
 
 
+def spans(text: str | None, vocabulary: str = VOCABULARY) -> list[tuple[int, int]]:
+    """Where credentials stand in a text, as (start, end) of their characters, in order and
+    without overlap. A credential that is split over lines is one span from its first character."""
+    if not text:
+        return []
+    plain, at = _joined(text)
+    found = _found(plain, vocabulary)
+    return found if at is None else [(at[s], at[e - 1] + 1) for s, e in found]
+
+
 def line_numbers(text: str, found: list[tuple[int, int]]) -> list[int]:
     """Lines (from 1, ending at a line feed) on which a span starts, each once."""
     return sorted({text.count("\n", 0, s) + 1 for s, _ in found})
 
 
-def redact(text: str | None, vocabulary: str = VOCABULARY, mask: str = "*") -> str | None:
-    """The text with every letter and digit of a credential masked; all other characters, quotes and
-    line ends stay in place."""
-    if text is None:
-        return None
+#: A line of an armored key: what stands before its data, and its data.
+RE_KEPT = re.compile(r"-----(?:BEGIN|END) [A-Z0-9 ]+-----|\\[nrt]|\\?\r?\n[ \t]*(?:(?://+|#+|\*+|--+|;+|\|+)[ \t]*)?|[\"'`+,\s]+(?=$|[\"'`\s])|\s+")
+
+
+def _mask(secret: str, mask: str) -> str:
+    """As many mask characters as the secret has, but for white space and quotes, and in a key for its armor, line ends
+    (escaped ones too) and comment signs."""
+    if "-----BEGIN" not in secret:
+        # An escape is masked whole, a blank never.
+        return re.sub(r"\\[^\s]|[^\s]", lambda m: mask * len(m.group()), secret)
     out, last = [], 0
-    for s, e in spans(text, vocabulary):
-        hidden = re.sub(r"[^\s\"'`]", mask, text[s:e]) if "-----BEGIN" not in text[s:e] else re.sub(r"^(?!.*-----(?:BEGIN|END)).*$", lambda m: re.sub(r"[^\s\"'`]", mask, m.group()), text[s:e], flags=re.M)
-        out += [text[last:s], hidden]
-        last = e
-    return "".join(out) + text[last:]
+    for m in RE_KEPT.finditer(secret):
+        out += [re.sub(r"[^\"'`]", mask, secret[last : m.start()]), m.group()]
+        last = m.end()
+    return "".join(out) + re.sub(r"[^\"'`]", mask, secret[last:])
+
+
+def redact(text: str | None, vocabulary: str = VOCABULARY, mask: str = "x") -> str | None:
+    """The text with every credential masked, character for character; null stays null.
+
+    What joins two literals, quotes, line ends, armor lines and escapes of line ends stay, so that code
+    and configuration parse as before; the mask is a letter because ``*`` means something in YAML. A
+    second pass finds nothing, as a run of the mask is a placeholder.
+    """
+    if not text:
+        return text
+    plain, at = _joined(text)
+    found = _found(plain, vocabulary)
+    if not found:
+        return text
+    out = list(text)
+    for s, e in found:
+        hidden = _mask(plain[s:e], mask)
+        for k, c in enumerate(hidden):
+            out[at[s + k] if at is not None else s + k] = c
+    return "".join(out)
 
 
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
