@@ -2,7 +2,8 @@
 
 Copies are told by shingle containment and the longest common subsequence of the tokens of
 prompt and response, refusals by aligning the sentences with refusal templates, the rest by
-rules on the end of the text and on the languages of both sides.
+rules on the end of the text and on the languages of both sides: the script where it tells the
+language, else the frequent short words of sixteen languages.
 """
 
 from __future__ import annotations
@@ -36,8 +37,16 @@ REFUSALS = [
     "não posso ajudar", "não posso responder", "não me é possível", "não posso fornecer", "tenho de recusar", "devo recusar", "tenho que recusar", "não estou autorizado", "prefiro não responder", "não consigo ajudar",
     "я не могу помочь", "я не могу ответить", "не могу помочь с", "не могу ответить", "отвечать на * * * мне нельзя", "мне нельзя", "я вынужден отказать", "вынужден отказаться", "я должен отказать", "не имею права", "не могу выполнить", "я не вправе",
 ]
+#: What a refusing sentence begins with, and what it refuses; templates are their products.
+_UNWILLING = ["i can't", "i cannot", "i can not", "i could not possibly", "i am unable to", "i'm unable to", "i'm not able to", "i won't", "i will not", "i'm not going to", "i am not going to", "i shouldn't", "i should not", "i don't think i should", "i'm not willing to", "i have been told not to", "i choose not to", "we can't", "we cannot", "we are unable to"]
+_REFUSED = ["help", "assist", "support", "answer", "respond", "provide", "give you", "write", "generate", "produce", "create", "do that", "do this", "review", "discuss", "explain", "share", "comply", "fulfil", "process", "take part", "go into", "talk about", "advise", "engage"]
+REFUSALS += [f"{a} {b}" for a in _UNWILLING for b in _REFUSED]
+REFUSALS += [
+    "outside what i can", "outside the scope of what i", "this request is outside", "i have to pass on this", "i will pass on this", "i'm going to pass on", "i have to say no", "the answer is no", "as an ai language model i", "against our policy", "violates our policy", "goes against policy", "would not be appropriate for me", "wouldn't be appropriate for me", "not something i can do", "not something i'm willing", "i am prevented from", "i'm prevented from", "please ask someone else", "this is not a task i can",
+    "non posso aiutare", "non posso rispondere", "non sono in grado di", "devo rifiutare", "preferisco non", "ik kan niet helpen", "ik kan je niet helpen", "ik kan u niet helpen", "ik moet weigeren", "nie mogę pomóc", "nie mogę odpowiedzieć", "muszę odmówić", "jag kan inte hjälpa", "jeg kan ikke hjælpe", "yardımcı olamam",
+]
 #: Words one of which every refusing sentence holds.
-REFUSING = ["can't", "cannot", "won't", "will not", "unable", "not able", "comfortable", "rather not", "prefer not", "guidelines", "beyond what", "not possible", "not something", "refuse", "declin", "not allowed", "not permitted", "kann ich", "ich kann", "ablehnen", "darf", "möchte ich nicht", "refuser", "impossible", "ne peux", "ne suis", "préfère", "no puedo", "no me es", "rechazar", "negarme", "autorizad", "prefiero", "lo siento", "não posso", "não me", "recusar", "não estou", "prefiro", "não consigo", "не могу", "нельзя", "вынужден", "должен отказ", "не имею", "не вправе"]
+REFUSING = ["can not", "could not possibly", "not going to", "shouldn't", "should not", "not willing", "told not to", "choose not", "outside what", "outside the scope", "is outside", "pass on", "say no", "answer is no", "language model", "policy", "appropriate", "prevented", "someone else", "not a task", "non posso", "non sono", "rifiutare", "preferisco", "kan niet", "kan je niet", "kan u niet", "weigeren", "nie mogę", "odmówić", "kan inte", "kan ikke", "olamam", "can't", "cannot", "won't", "will not", "unable", "not able", "comfortable", "rather not", "prefer not", "guidelines", "beyond what", "not possible", "not something", "refuse", "declin", "not allowed", "not permitted", "kann ich", "ich kann", "ablehnen", "darf", "möchte ich nicht", "refuser", "impossible", "ne peux", "ne suis", "préfère", "no puedo", "no me es", "rechazar", "negarme", "autorizad", "prefiero", "lo siento", "não posso", "não me", "recusar", "não estou", "prefiro", "não consigo", "не могу", "нельзя", "вынужден", "должен отказ", "не имею", "не вправе"]
 #: Sentences that go with a refusal and answer nothing.
 COURTESY = re.compile(
     r"^(?:you ask(?:ed)? about|i hope you understand|is there anything else|please (?:ask|consult|contact)|let me know if|such an? .{1,60}(?:might|could|may) be|questions about|thanks for|thank you|i'?m sorry|sorry|i apologi[sz]e|unfortunately|feel free|if you have (?:a|any) (?:different|other)|you may want to|consider (?:asking|consulting)|bitte|es tut mir|désolé|je suis désolé|lo siento|lamento|desculpe|извините|простите|к сожалению)",
@@ -55,7 +64,27 @@ FUNCTION = {
     "es": "el la los las y es una un no que para por se del con hay tras cuando hemos al sin porque después debe solo pero como su sus lo vuelve antes aquí más cómo qué ser está quien cuenta",
     "pt": "o os a as e é uma um não que para por se do da dos das com depois quando no na num sem ao porque só deve ser mas como seu sua também já antes aqui mais fica isso está pelo novamente",
 }
-FUNCTION = {k: frozenset(v.split()) for k, v in FUNCTION.items()}
+#: Further languages; words that one above has too don't speak for them.
+FUNCTION |= {
+    "it": "il lo gli di che è sono per nel nella della delle degli con non si ma anche quando dopo prima ogni senza questo questa viene perché più deve può essere già poi ancora solo sempre dal alla allo",
+    "nl": "het een van en niet dat zijn wordt worden met voor op aan ook als maar deze dit naar bij nog uit moet kan heeft hebben omdat wanneer zonder geen altijd eerst daarna dan wel door om er",
+    "pl": "nie się jest że na do to jak ale przez przed po gdy kiedy są być może tylko także oraz jego ich który która które już tak dla od bez musi zawsze potem czy",
+    "cs": "není je že se na to jak ale před po když jsou být může pouze také jeho jejich který která které už tak pro od bez musí vždy potom nebo při aby jen",
+    "sv": "och att det som är inte på med för av den till har kan om eller när från ska måste bara också efter innan alltid utan vid denna detta blir då så",
+    "da": "og at det som er ikke på med af den til har kan eller når fra skal kun også efter før altid uden ved denne dette bliver hvis være deres",
+    "fi": "ja on ei se että kun mutta myös tai jos niin ovat joka sen ne voi vain ennen jälkeen aina ilman kuin mukaan pitää tämä nämä sitten vielä",
+    "tr": "ve bir bu için ile değil olarak gibi daha sonra önce ise ancak her çok kadar olan var yok ya da ne zaman eğer sadece tarafından",
+    "id": "dan yang di ke dari untuk dengan tidak ini itu adalah akan pada juga atau dapat harus jika ketika setelah sebelum hanya sudah oleh tanpa setiap",
+    "ro": "și este nu să cu pe care pentru din sunt dar când după înainte fiecare fără acest această poate trebuie doar mai fi prin dacă sau lui",
+}
+_OWNED: dict[str, str] = {}
+for _k, _v in FUNCTION.items():
+    for _w in _v.split():
+        _OWNED.setdefault(_w, _k)
+FIRST = ("en", "de", "fr", "es", "pt")
+FUNCTION = {k: frozenset(w for w in v.split() if k in FIRST or _OWNED[w] not in FIRST) for k, v in FUNCTION.items()}
+#: Scripts that tell the language, as first and last code points.
+SCRIPTS = {"ru": [(0x400, 0x4FF)], "el": [(0x370, 0x3FF)], "he": [(0x590, 0x5FF)], "ar": [(0x600, 0x6FF)], "hi": [(0x900, 0x97F)], "th": [(0xE00, 0xE7F)], "ko": [(0xAC00, 0xD7A3), (0x1100, 0x11FF)], "ja": [(0x3040, 0x30FF)], "zh": [(0x4E00, 0x9FFF), (0x3400, 0x4DBF)]}
 SPEAKS: dict[str, list[int]] = {}
 for _k, _words in enumerate(FUNCTION.values()):
     for _w in _words:
@@ -68,6 +97,24 @@ LANGUAGE_NAMES = {
     "es": r"spanish|spanisch\w*|espagnol\w*|español\w*|castellano|espanhol\w*|испанск\w*|по-испански",
     "pt": r"portuguese|portugiesisch\w*|portugais\w*|portugu[eé]s\w*|português|португальск\w*|по-португальски",
     "ru": r"russian|russisch\w*|russe|ruso|rusa|russo|russa|русск\w*|по-русски",
+    "it": r"italian\w*|italien\w*|итальянск\w*",
+    "nl": r"dutch|nederlands\w*|niederländisch\w*|néerlandais\w*|neerland[eé]s\w*|holandés|holandês|нидерландск\w*",
+    "pl": r"polish|polnisch\w*|polsk\w*|polonais\w*|polac[oa]|polon[eê]s\w*|польск\w*",
+    "cs": r"czech|tschechisch\w*|tchèque|checo|tcheco|česk\w*|чешск\w*",
+    "sv": r"swedish|schwedisch\w*|suédois\w*|sueco|svenska|шведск\w*",
+    "da": r"danish|dänisch\w*|danois\w*|danés|dinamarquês|dansk|датск\w*",
+    "fi": r"finnish|finnisch\w*|finnois\w*|fin(?:land)?[eé]s|finlandês|suomeksi|финск\w*",
+    "tr": r"turkish|türkisch\w*|turc|turco|türkçe|турецк\w*",
+    "id": r"indonesian?|indonesisch\w*|indonésien\w*|indonesio|bahasa|индонезийск\w*",
+    "ro": r"romanian|rumänisch\w*|roumain\w*|rumano|romeno|română|румынск\w*",
+    "el": r"greek|griechisch\w*|grec|griego|grego|ελληνικ\w*|греческ\w*",
+    "he": r"hebrew|hebräisch\w*|hébreu|hebreo|hebraico|עברית|иврит\w*",
+    "ar": r"arabic|arabisch\w*|arabe|árabe|العربية|арабск\w*",
+    "hi": r"hindi|हिन्दी|हिंदी|хинди",
+    "th": r"thai|thailändisch\w*|thaï|tailandés|tailandês|ไทย|тайск\w*",
+    "ko": r"korean|koreanisch\w*|coréen|coreano|한국어|корейск\w*",
+    "ja": r"japanese|japanisch\w*|japonais\w*|japonés|japonês|日本語|японск\w*",
+    "zh": r"chinese|mandarin|chinesisch\w*|chinois\w*|chino|chinês|中文|汉语|китайск\w*",
 }
 LANGUAGE_NAMES = {k: re.compile(rf"\b(?:{v})\b", re.I) for k, v in LANGUAGE_NAMES.items()}
 
@@ -215,14 +262,35 @@ def is_echo(instruction: str, response: str) -> bool:
     return n >= 0.85 * len(b) and n >= 0.6 * len(a) and gap <= ECHO_GAP + 2
 
 
+def script(text: str) -> tuple[str | None, int]:
+    """The language that most letters' script tells, and how many letters are in it; kana makes Han Japanese."""
+    if text.isascii():
+        return None, 0
+    letters, n = 0, dict.fromkeys(SCRIPTS, 0)
+    for c in text:
+        if c.isalpha():
+            letters += 1
+            if c > "\u036f":
+                x = ord(c)
+                for k, ranges in SCRIPTS.items():
+                    if any(lo <= x <= hi for lo, hi in ranges):
+                        n[k] += 1
+                        break
+    if n["ja"] > 0.1 * n["zh"]:
+        n["ja"], n["zh"] = n["ja"] + n["zh"], 0
+    best = max(n, key=n.get)
+    return (best, n[best]) if n[best] > 0.4 * letters else (None, 0)
+
+
 def language(text: str) -> tuple[str | None, int]:
-    """The language of prose and how many words speak for it over the next one."""
+    """The language of prose and how many words speak for it over the next one; of scripts that tell it,
+    a word for every three letters."""
+    told, letters = script(text)
+    if told:
+        return told, -(-letters // 3)
     words = LETTERS.findall(text.lower())
     if not words:
         return None, 0
-    cyrillic = 0 if text.isascii() else sum("а" <= w[0] <= "я" or w[0] == "ё" for w in words)
-    if cyrillic > 0.4 * len(words):
-        return "ru", cyrillic
     votes = [0] * len(FUNCTION)
     for w in words:
         for k in SPEAKS.get(w, ()):
