@@ -4,7 +4,12 @@ SimHash fingerprints of all word windows of the items are indexed by blocks of b
 fingerprints that differ in at most RADIUS bits agree in at least one of RADIUS + 1 blocks, so
 a look-up by every block finds all of them. The windows of a document that hit an item give
 candidates; one window that is equal makes a candidate, however many items have it, as every passage
-leaves one whole. Counts of words thin the candidates out, and a local alignment of words decides.
+leaves one whole. Of a candidate, some 20 successive item words must mostly stand in the document, then
+mostly near one diagonal: counts that no passage can miss, taken for all documents of an item at once.
+A local alignment of words decides.
+
+The items are the fixed side. Their words, in blocks of at most PASS_WORDS words, are broadcast as
+numbers; a set of items beyond one block takes another pass over the documents for each.
 
 A passage of 20 words with a sixth of them changed leaves a run of 4 or 5 words whole, but a
 fingerprint of 20 words so changed is some 11 of 64 bits away, a radius no block index can
@@ -28,11 +33,16 @@ WINDOW, RADIUS, PASSAGE = 4, 3, 20
 CHANGED = 1 / 6
 #: Cost of a changed, dropped or added word against 1 for an equal one.
 EDIT = 2.0
-#: Items of one pass over the documents; more items take more passes.
-ITEMS_PER_PASS = 20_000
+#: Words of items of one pass over the documents (of 8 bytes each); more take more passes.
+PASS_WORDS = 4_000_000
+#: Documents that are looked up together, at most so many words of them.
+TOGETHER, TOGETHER_WORDS = 256, 1_000_000
+#: Buckets in which the words, and the pairs of successive words, of a document are marked.
+WORD_BUCKETS, PAIR_BUCKETS = 1 << 15, 1 << 16
 
 TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,80}>|&(?:nbsp|amp|lt|gt|quot|#\d+);")
 HYPHEN = re.compile(r"(?<=[^\W\d_])(?:-|‐|­)[ \t\r]*\n[ \t]*(?:(?://+|\*+|#+|--+|>+|;+)[ \t]*)*(?=[^\W\d_])")
+HYPHENS = re.compile("[-\u2010\u00ad][ \t\r]*\n")
 WORD = re.compile(r"[^\W_]+")
 SOFT = str.maketrans("", "", "­​‌‍﻿*`~")
 
@@ -42,8 +52,15 @@ def words(text: str | None) -> list[str]:
     inner hyphens and apostrophes are split."""
     if not text:
         return []
-    text = HYPHEN.sub("", TAG.sub("", text.replace("\r\n", "\n").replace("\r", "\n"))).translate(SOFT)
-    return WORD.findall(text.replace("’", "'").casefold())
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
+    if "<" in text or "&" in text:
+        text = TAG.sub("", text)
+    if HYPHENS.search(text):
+        text = HYPHEN.sub("", text)
+    if not text.isascii() or "*" in text or "`" in text or "~" in text:
+        text = text.translate(SOFT).replace("’", "'")
+    return WORD.findall(text.lower() if text.isascii() else text.casefold())
 
 
 def word_hashes(ws: list[str], known: dict[str, int]) -> np.ndarray:
@@ -144,14 +161,25 @@ def may_hold(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: f
     return int(span.max()) >= least - edits
 
 
-def may_share(held: np.ndarray, least: int = PASSAGE, changed: float = CHANGED) -> bool:
-    """A necessary condition of :func:`may_hold`, cheaper still: among some ``least`` successive item words,
-    all but the edits are ``held`` by the document anywhere."""
-    if len(held) < least:
-        return False
-    n = np.cumsum(held, dtype=np.int16)
-    n[least:] -= n[:-least].copy()
-    return int(n[least - 1 :].max()) >= least - math.ceil(least * changed) - 1
+def may_share(held: np.ndarray, run: int = 1, least: int = PASSAGE, changed: float = CHANGED) -> np.ndarray:
+    """A necessary condition of :func:`passage`, cheaper still, for a document each row: among some ``least``
+    successive item words, all runs of ``run`` words but those with an edit are ``held`` by the document anywhere."""
+    n_runs = least - run + 1
+    if held.shape[1] < n_runs:
+        return np.zeros(len(held), bool)
+    n = np.cumsum(held, axis=1, dtype=np.int32)
+    n[:, n_runs:] -= n[:, :-n_runs].copy()
+    return n[:, n_runs - 1 :].max(axis=1) >= n_runs - run * (math.ceil(least * changed) + 1)
+
+
+def word_buckets(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
+
+
+def pair_buckets(h: np.ndarray) -> np.ndarray:
+    """Buckets of the pairs of successive words."""
+    x = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
+    return ((x ^ x >> np.uint64(29)) & np.uint64(PAIR_BUCKETS - 1)).astype(np.int64)
 
 
 def may_align(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: float = CHANGED) -> bool:
@@ -159,7 +187,8 @@ def may_align(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed:
     its band, so any band lies in two neighbours."""
     edits = math.ceil(least * changed) + 1
     order = np.argsort(doc, kind="stable")
-    lo, hi = (np.searchsorted(doc[order], item, side) for side in ("left", "right"))
+    held = doc[order]
+    lo, hi = (np.searchsorted(held, item, side) for side in ("left", "right"))
     n = hi - lo
     i = np.repeat(np.arange(len(item)), n)
     if len(i) < least - edits:
@@ -177,7 +206,7 @@ def passage(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: fl
     """Some stretch of at least ``least`` item words stands in the document with at most
     ``changed`` of its words edited (one word more is allowed for rounding)."""
     n, m = len(item), len(doc)
-    cols = np.arange(m + 1) * EDIT
+    cols, places = np.arange(m + 1) * EDIT, np.arange(m + 1)
     score = np.zeros(m + 1)
     # For each cell: the item word before which its alignment began, and its equal words.
     begin, same = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
@@ -196,7 +225,7 @@ def passage(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: fl
         # Added words: a cell may come from any cell to its left.
         lifted = row + cols
         top = np.maximum.accumulate(lifted)
-        src = np.maximum.accumulate(np.where(lifted >= top, np.arange(m + 1), 0))
+        src = np.maximum.accumulate(np.where(lifted >= top, places, 0))
         new = top - cols
         moved = new > row
         score = np.where(moved, new, row)
@@ -209,91 +238,157 @@ def passage(item: np.ndarray, doc: np.ndarray, least: int = PASSAGE, changed: fl
     return False
 
 
-def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, item_id`` of documents that hold a passage of an item.
+class ItemIndex:
+    """The items of one pass: fingerprints of their windows by blocks of bits, and their words as numbers."""
+
+    def __init__(self, seqs: list[np.ndarray]):
+        self.seqs = seqs
+        prints = [fingerprints(s) for s in seqs]
+        owner = np.repeat(np.arange(len(seqs)), [len(p) for p in prints])
+        flat = np.concatenate([np.empty(0, np.uint64), *prints])
+        # Equal windows are one entry that lists its items.
+        self.distinct, which = np.unique(flat, return_inverse=True)
+        pairs = np.unique(which.astype(np.int64) * max(1, len(seqs)) + owner)
+        entry, self.item_of = pairs // max(1, len(seqs)), pairs % max(1, len(seqs))
+        self.first = np.searchsorted(entry, np.arange(len(self.distinct) + 1))
+        self.blocks = BlockIndex(self.distinct)
+        # Words as places in a sorted list; those of no item share the last place.
+        self.words = np.unique(np.concatenate([np.empty(0, np.uint64), *seqs]))
+        self.word_at = [np.searchsorted(self.words, s).astype(np.int32) for s in seqs]
+        self.singles, self.doubles = [word_buckets(x) for x in seqs], [pair_buckets(x) for x in seqs]
+        self.held = np.zeros(len(self.words) + 1, bool)
+
+    def hits(self, hs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, window, whole) of every window of a document within the radius of an item's."""
+        fs = [fingerprints(h) for h in hs]
+        size = np.array([len(f) for f in fs], np.int64)
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        flat = np.concatenate([np.empty(0, np.uint64), *fs])
+        q, e = self.blocks.within(flat)
+        n = self.first[e + 1] - self.first[e]
+        items = self.item_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[e], n)]
+        whole = np.repeat(flat[q] == self.distinct[e], n)
+        q = np.repeat(q, n)
+        return np.repeat(np.arange(len(fs)), size)[q], items, at[q], whole
+
+    def search(self, hs: list[np.ndarray]) -> list[tuple[int, int]]:
+        """(document, item) of every document that holds a passage of an item."""
+        if not len(self.distinct):
+            return []
+        doc, item, place, whole = self.hits(hs)
+        # Any passage of an item leaves a window whole: a pair without one can't hold it.
+        doc, item, place = doc[whole], item[whole], place[whole]
+        order = np.lexsort((place, doc, item))
+        doc, item, place = doc[order], item[order], place[order]
+        if not len(doc):
+            return []
+        # What a document holds, by bucket: two that fall together only let more pass.
+        some, row = np.unique(doc, return_inverse=True)
+        single, double = np.zeros((len(some), WORD_BUCKETS), bool), np.zeros((len(some), PAIR_BUCKETS), bool)
+        for k, d in enumerate(some.tolist()):
+            single[k, word_buckets(hs[d])] = True
+            double[k, pair_buckets(hs[d])] = True
+        numbers: dict[int, np.ndarray] = {}
+        new = np.flatnonzero(np.diff(item, prepend=-1) | np.diff(doc, prepend=-1))
+        ends = np.append(new[1:], len(doc))
+        starts_item = np.flatnonzero(np.diff(item[new], prepend=-1))
+        out = []
+        for lo, hi in zip(starts_item.tolist(), [*starts_item[1:].tolist(), len(new)]):
+            i = int(item[new[lo]])
+            if len(self.seqs[i]) < PASSAGE:
+                continue
+            docs, at = doc[new[lo:hi]], np.arange(lo, hi)
+            rows = row[new[lo:hi]]
+            can = may_share(single[rows[:, None], self.singles[i][None, :]])
+            docs, at, rows = docs[can], at[can], rows[can]
+            can = may_share(double[rows[:, None], self.doubles[i][None, :]], 2)
+            for d, k in zip(docs[can].tolist(), at[can].tolist()):
+                if d not in numbers:
+                    w = np.searchsorted(self.words, hs[d])
+                    w[self.words[np.minimum(w, len(self.words) - 1)] != hs[d]] = len(self.words)
+                    numbers[d] = w.astype(np.int32)
+                if self._holds(i, numbers[d], place[new[k] : ends[k]]):
+                    out.append((d, i))
+        return sorted(out)
+
+    def _holds(self, i: int, doc: np.ndarray, hits: np.ndarray) -> bool:
+        """Only the surroundings of the equal windows can hold the passage. Words are numbers here."""
+        seq = self.word_at[i]
+        reach = len(seq) * 7 // 6 + 8
+        cuts = np.flatnonzero(hits[1:] - hits[:-1] > reach) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(hits)]):
+            part = doc[max(0, hits[lo] - reach) : hits[hi - 1] + WINDOW + reach]
+            if len(part) < len(doc):
+                self.held[part] = True
+                self.held[-1] = False
+                can = may_share(self.held[seq][None, :])[0]
+                self.held[part] = False
+                if not can:
+                    continue
+            if may_align(seq, part) and may_hold(seq, part) and passage(seq, part):
+                return True
+        return False
+
+
+def item_passes(items: DataFrame, per_pass: int = PASS_WORDS) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """(ids, word hashes) of the distinct items, in blocks of at most so many words (one item at least); one block
+    at a time is on the driver."""
+    known: dict[str, int] = {}
+    ids, seqs, n = [], [], 0
+    rows = items.where("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
+    for r in rows.toLocalIterator():
+        seq = word_hashes(words(r["text"]), known)
+        if len(seq) < PASSAGE:
+            continue
+        if ids and n + len(seq) > per_pass:
+            yield ids, seqs
+            ids, seqs, n = [], [], 0
+        ids.append(r["item_id"])
+        seqs.append(seq)
+        n += len(seq)
+    yield ids, seqs
+
+
+def together(texts: list[str | None], known: dict[str, int]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(place of the first, word hashes) of runs of documents."""
+    at, hs, n = 0, [], 0
+    for k, t in enumerate(texts):
+        h = word_hashes(words(t), known)
+        if hs and (len(hs) >= TOGETHER or n + len(h) > TOGETHER_WORDS):
+            yield at, hs
+            at, hs, n = k, [], 0
+        hs.append(h)
+        n += len(h)
+    if hs:
+        yield at, hs
+
+
+def leaked(docs: DataFrame, items: DataFrame, per_pass: int = PASS_WORDS) -> DataFrame:
+    """``doc_id, item_id`` of documents that hold a passage of an item, with ids of any type.
 
     Null and short texts hold none, repeated documents come out once per row, repeated items
-    once. The items are the fixed side: their words go to the tasks in passes of ITEMS_PER_PASS.
+    once; other columns are ignored.
     """
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    held = {r["item_id"]: r["text"] for r in items.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator()}
+    sc, id_type = docs.sparkSession.sparkContext, to_arrow_type(items.schema["item_id"].dataType)
+    kinds = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     src = spread(docs.select("doc_id", "text"))
-    ids = sorted(held)
-    parts = []
-    for at in range(0, max(1, len(ids)), ITEMS_PER_PASS):
-        some = [(i, held[i]) for i in ids[at : at + ITEMS_PER_PASS]]
+    out = None
+    for ids, seqs in item_passes(items, per_pass):
+        sent = sc.broadcast((ids, seqs))
 
-        def run(batches: Iterator[pa.RecordBatch], some=some) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ids, seqs = sent.value
+            index = ItemIndex(seqs)
             known: dict[str, int] = {}
-            seqs = [word_hashes(words(t), known) for _, t in some]
-            prints = [fingerprints(s) for s in seqs]
-            owner = np.repeat(np.arange(len(some)), [len(p) for p in prints])
-            flat = np.concatenate([np.empty(0, np.uint64), *prints])
-            if not len(flat):
-                return
-            # Words as places in a sorted list; those of no item share the last place.
-            known_words = np.unique(np.concatenate(seqs))
-            word_at = [np.searchsorted(known_words, s) for s in seqs]
-            held = np.zeros(len(known_words) + 1, bool)
-            # Equal windows are one entry that lists its items.
-            distinct, which = np.unique(flat, return_inverse=True)
-            pairs = np.unique(which.astype(np.int64) * len(some) + owner)
-            entry, item_of = pairs // len(some), pairs % len(some)
-            first = np.searchsorted(entry, np.arange(len(distinct) + 1))
-            index = BlockIndex(distinct)
             for b in batches:
-                docs_, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-                out_d, out_i = [], []
-                for lo in range(0, len(texts), 256):
-                    hs = [word_hashes(words(t), known) for t in texts[lo : lo + 256]]
-                    fs = [fingerprints(h) for h in hs]
-                    doc_of = np.repeat(np.arange(len(fs)), [len(f) for f in fs])
-                    pos_of = np.concatenate([np.empty(0, np.int64), *(np.arange(len(f)) for f in fs)])
-                    all_f = np.concatenate([np.empty(0, np.uint64), *fs])
-                    if not len(all_f):
-                        continue
-                    q, e = index.within(all_f)
-                    n = first[e + 1] - first[e]
-                    it = item_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[e], n)]
-                    whole = np.repeat(all_f[q] == distinct[e], n)
-                    q = np.repeat(q, n)
-                    key = doc_of[q].astype(np.int64) * len(some) + it
-                    # Any passage of an item leaves a window whole: a pair without one can't hold it.
-                    order = np.flatnonzero(np.isin(key, key[whole]))
-                    order = order[np.argsort(key[order], kind="stable")]
-                    key, q, whole = key[order], q[order], whole[order]
-                    cand, begin = np.unique(key, return_index=True)
-                    ends = np.append(begin[1:], len(key))
-                    last = None
-                    for c, x, y in zip(cand.tolist(), begin.tolist(), ends.tolist()):
-                        d, i = divmod(c, len(some))
-                        if len(seqs[i]) < PASSAGE:
-                            continue
-                        if d != last:
-                            last, at = d, np.searchsorted(known_words, hs[d])
-                            at[known_words[np.minimum(at, len(known_words) - 1)] != hs[d]] = len(known_words)
-                        # Only the surroundings of the hits can hold the passage.
-                        reach = len(seqs[i]) * 7 // 6 + 8
-                        hits, must = np.unique(pos_of[q[x:y]]), pos_of[q[x:y][whole[x:y]]]
-                        for group in np.split(hits, np.flatnonzero(np.diff(hits) > reach) + 1):
-                            if not ((must >= group[0]) & (must <= group[-1])).any():
-                                continue
-                            lo_, hi_ = max(0, group[0] - reach), group[-1] + WINDOW + reach
-                            near = at[lo_:hi_]
-                            held[near] = True
-                            held[-1] = False
-                            can = may_share(held[word_at[i]])
-                            held[near] = False
-                            part = hs[d][lo_:hi_]
-                            if can and may_align(seqs[i], part) and may_hold(seqs[i], part) and passage(seqs[i], part):
-                                out_d.append(docs_[lo + d])
-                                out_i.append(some[i][0])
-                                break
-                yield pa.RecordBatch.from_arrays([pa.array(out_d, pa.int64()), pa.array(out_i, pa.int64())], ["doc_id", "item_id"])
-
-        parts.append(src.mapInArrow(run, "doc_id bigint, item_id bigint"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+                for at, hs in together(b.column(1).to_pylist(), known):
+                    got = index.search(hs)
+                    if got:
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([at + d for d, _ in got])), pa.array([ids[i] for _, i in got], id_type)], ["doc_id", "item_id"])
+
+        part = src.mapInArrow(run, f"doc_id {kinds[0]}, item_id {kinds[1]}")
+        out = part if out is None else out.unionByName(part)
     return out
