@@ -4,7 +4,8 @@ Three kinds of evidence, each alone enough: the path (generator suffixes, bundle
 folders), the content (banners at the top, minified or data-like composition), and other
 repositories (lines of the file, rarest first, found in an earlier file of another
 repository, or in a third-party copy of any date there: an inverted index of the line hashes of all
-files with an exact containment check).
+files with an exact containment check). Files with equal lines are one class, and a class is told by its
+earliest files, so a library that stands in any number of repositories gives rows in proportion.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions.ids import norm_id
@@ -38,16 +39,18 @@ NAMES = re.compile(
     r"\.pb(?:\.\w+)?\.(?:go|cc|h|c|js|ts|swift|py)$|_pb2(?:_grpc)?\.pyi?$|_pb\.(?:js|d\.ts|rb)$|_grpc\.pb\.go$|\.pb\.gw\.go$"
     r"|\.(?:generated|gen|g|designer)\.\w+$|_generated\.\w+$|_gen\.go$|^zz_generated|(?:^|_)generated(?:_|\.)|^mock_\w+\.go$|_mock\.gen\.go$|_string\.go$|_easyjson\.go$|bindata\.go$|\.deepcopy\.go$"
     r"|[.-]min\d*\.(?:js|css|mjs)$|\.bundle\d*\.(?:js|css|mjs)$|\.chunk\d*\.(?:js|css|mjs)$|[.-][0-9a-f]{8,20}\.(?:js|css|mjs)$|\.(?:js|css)\.map$"
+    r"|^lex\.\w+\.(?:c|cc|cpp)$|^y\.tab\.[ch]$|\.(?:tab|yy|lex)\.(?:c|cc|cpp|h|hh|hpp)$|(?:Lexer|Parser|Listener|Visitor)\.(?:interp|tokens)$|^moc_\w+\.cpp$|^ui_\w+\.h$|^qrc_\w+\.cpp$|_wrap\.(?:c|cxx|cpp)$|\.pb-c\.[ch]$|_pb\.(?:go|dart)$|\.(?:thrift|avsc|capnp|fbs)\.(?:go|h|js|c\+\+)$|_rpc\.pb\.\w+$|wire_gen\.go$|(?:^|_)enum(?:er|s_gen)\.go$"
     r"|^bindata_\w+\.go$|^font_\w+\.js$|_table\.c$|_image\.h\.c$|\.xpm$|\.xbm$|(?<=[a-z_])(?:_data\.(?:go|c|h|py|js)|Data\.java)$|_(?:corpus|weights|embeddings|vectors|vocab|dump)\.json$",
 )
 #: Folders and banners of third-party copies.
 THIRD_FOLDERS = re.compile(FOLDERS.pattern.removeprefix("(?:^|/)generated/|"))
-THIRD_BANNER = re.compile(r"\bvendored from\b|\bupstream copy\b|\bbundled third-party\b|\bthird-party library\b|\bkept here unmodified\b|\bcopied (?:verbatim )?from (?:upstream|https?://)", re.I)
+_TAKEN = r"\b(?:vendored|imported|copied|taken|synced|mirrored|pulled|forked|borrowed)(?: (?:verbatim|unmodified|unchanged|directly|as is))*,? from (?:upstream\b|https?://|[\w.-]+/[\w.-]+|[\w.-]+ (?:release|version|v?\d+\.\d))|\bvendored from\b|\bupstream copy\b|\bbundled third-party\b|\bthird-party library\b|\bkept here (?:unmodified|unchanged|verbatim)\b|\blocal (?:changes|edits|modifications) (?:are not allowed|are forbidden|will be (?:lost|overwritten))"
+THIRD_BANNER = re.compile(_TAKEN, re.I)
 #: What banners say, and how they are denied.
 BANNER = re.compile(
     r"code generated (?:by|from)\b|@generated\b|<auto-?generated>|\bauto(?:matically)?[ -]?generated\b|\bgenerated (?:on build|automatically|by|from|file|code|with)\b|\bmachine[- ]generated\b"
     r"|\bdo not (?:edit|modify)\b|\bcompiled output\b|\bedit the source instead\b|\bchanges will be lost\b|\binstead of editing\b"
-    r"|\bvendored from\b|\bupstream copy\b|\bbundled third-party\b|\bthird-party library\b|\bkept here unmodified\b|\bcopied (?:verbatim )?from (?:upstream|https?://)",
+    rf"|{_TAKEN}",
     re.I,
 )
 DENIED = re.compile(r"\b(?:not|nothing|never|no|isn't|don't|wasn't|without|by hand)\b(?! (?:edit|modify)\b).{0,40}\b(?:generat|vendored)|written by hand|edit freely|banner of|vendored copy was|do not run|['\"`]do not edit|our own version", re.I)
@@ -166,33 +169,71 @@ def _scan(docs: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "ord bigint, repo string, at timestamp_ntz, found boolean, third string, lines array<bigint>")
 
 
+def _heads(rows: DataFrame, key: str) -> DataFrame:
+    """``key, heads``: the first row by (at, ord) and the first of another repository, as structs, of
+    ``rows(key, repo, at, ord, third)``. Both come from aggregations with map-side combine."""
+    each = rows.groupBy(key, "repo").agg(F.min(F.struct("at", "ord", "third")).alias("h")).select(key, F.struct("h.at", "h.ord", "repo", "h.third").alias("x"))
+    one = each.groupBy(key).agg(F.min("x").alias("a"))
+    two = each.join(one, key).where("x.repo <> a.repo").groupBy(key).agg(F.min("x").alias("b"))
+    return one.join(two, key, "left").select(key, F.array_compact(F.array("a", "b")).alias("heads"))
+
+
+def _copied(heads: str, third: str) -> Column:
+    """A file (repo, name, at, ord) is later than a head of another repository, or has a third-party copy there that doesn't
+    name its own."""
+    earlier = F.exists(heads, lambda x: (x["repo"] != F.col("repo")) & (F.struct(x["at"], x["ord"]) < F.struct(F.col("at"), F.col("ord"))))
+    foreign = F.exists(third, lambda x: (x["repo"] != F.col("repo")) & ~F.contains(x["third"], F.regexp_replace("name", "/", "_")))
+    return F.coalesce(earlier, F.lit(False)) | F.coalesce(foreign, F.lit(False))
+
+
 def foreign_copies(files: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """``ord`` of files of which at least ``contained`` of the lines stand in an earlier file of
-    another repository, or in a third-party copy there, whatever its date, unless that names
-    the file's own repository as its source. ``files(ord, repo, at, found, third, lines)``; files
+    another repository, or in a third-party copy there, whatever its date, unless the earliest two such copies (of two
+    repositories) of each content name the file's own as their source. ``files(ord, repo, at, found, third, lines)``; files
     found already are looked up but not told; null repositories are left out.
 
-    A file that is contained to that share in another holds one of its ``(1 - contained) n + 1``
-    rarest lines there, whatever those are: only these are looked up, and nothing is missed.
+    Files with equal lines are one class, kept by its earliest files. A class that is contained to that share in
+    another holds one of its ``(1 - contained) n + 1`` rarest lines there, whatever those are: only these
+    are looked up, and nothing is missed. The earliest class with such a line is tried first; only files that it
+    doesn't explain are looked up in all classes with their lines.
     """
-    files = files.where("repo is not null and size(lines) > 0").select("ord", F.xxhash64("repo").alias("repo"), F.col("repo").alias("name"), "at", "found", "third", "lines")
-    lines = files.select("ord", "repo", "found", F.explode("lines").alias("h"))
-    repos = lines.select("h", "repo").distinct().groupBy("h").agg(F.count("*").alias("df"))
-    # Lines of one repository can't point elsewhere; a file with more of them than it may miss
-    # is no copy.
-    shared = lines.where("not found").join(repos.where("df > 1"), "h").groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+    files = files.where("repo is not null and size(lines) > 0").select("ord", F.xxhash64("repo").alias("repo"), F.col("repo").alias("name"), "at", "found", "third", F.sort_array("lines").alias("lines"))
+    files = files.withColumn("cls", F.xxhash64("lines"))
+    members = cut(files.drop("lines"))
+    heads = _heads(members.withColumn("third", F.lit(None).cast("string")), "cls")
+    thirds = _heads(members.where("third is not null"), "cls").withColumnRenamed("heads", "thirds")
+    whole = files.groupBy("cls").agg(F.first("lines").alias("lines"), F.bool_or(~F.col("found")).alias("asked"), F.min("repo").alias("r1"), F.max("repo").alias("r2"))
+    classes = cut(whole.join(heads, "cls").join(thirds, "cls", "left"))
+    asked = members.where("not found").select("cls", "ord", "repo", "name", "at")
+
+    def told(by: DataFrame, who: DataFrame) -> DataFrame:
+        """Files of ``who`` that the heads of ``by(cls, heads, thirds)`` explain."""
+        return who.join(by, "cls").where(_copied("heads", "thirds")).select("ord")
+
+    same = cut(told(classes.select("cls", "heads", "thirds"), asked))
+    left = cut(asked.join(same, "ord", "left_anti"))
+    lines = classes.select("cls", "r1", "r2", F.col("heads")[0]["at"].alias("at"), F.col("heads")[0]["ord"].alias("ord"), F.explode("lines").alias("h"))
+    held = lines.groupBy("h").agg(F.count("*").alias("df"), F.min("r1").alias("r1"), F.max("r2").alias("r2"), F.min(F.struct("at", "ord", "cls"))["cls"].alias("first")).where("df > 1 and r1 <> r2").select("h", "df", "first")
+    open_ = classes.join(left.select("cls").distinct(), "cls", "left_semi").select("cls", "lines")
+    shared = open_.select("cls", F.explode("lines").alias("h")).join(held, "h").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "h", "first"))).alias("s"))
+    # Lines of one repository, or of one class, can't point elsewhere; a class with more of them than it may miss is no copy.
     n = F.size("lines")
     spare = n - F.ceil(n * contained).cast("int")
-    probes = files.join(shared, "ord").withColumn("unshared", n - F.size("s")).where(F.col("unshared") <= spare)
-    probes = probes.select("ord", "repo", "at", F.explode(F.slice("s", F.lit(1), spare - F.col("unshared") + 1)).alias("x")).select("ord", "repo", "at", F.col("x.h").alias("h"))
-    other = lines.select(F.col("ord").alias("ord2"), F.col("repo").alias("repo2"), "h")
-    pairs = cut(probes.select("ord", "repo", "h").join(other, "h").where("repo <> repo2").select("ord", "ord2").distinct())
-    a = files.select("ord", "name", F.col("at").alias("at1"), F.col("lines").alias("l1"))
-    b = files.select(F.col("ord").alias("ord2"), F.col("at").alias("at2"), "third", F.col("lines").alias("l2"))
-    both = pairs.join(a, "ord").join(b, "ord2")
-    later = F.struct(F.col("at1"), F.col("ord")) > F.struct(F.col("at2"), F.col("ord2"))
-    copied = F.when(F.col("third").isNull(), later).otherwise(~F.contains("third", F.regexp_replace("name", "/", "_")))
-    return both.where(copied & (F.size(F.array_intersect("l1", "l2")) >= F.size("l1") * contained)).select("ord").distinct()
+    probes = open_.join(shared, "cls").withColumn("unshared", n - F.size("s")).where(F.col("unshared") <= spare)
+    probes = cut(probes.select("cls", F.explode(F.slice("s", F.lit(1), spare - F.col("unshared") + 1)).alias("x")).select("cls", "x.h", "x.first"))
+
+    def explained(pairs: DataFrame) -> DataFrame:
+        """``cls, heads, thirds`` of each class that contains ``cls``, of ``pairs(cls, other)``. Of equal files only those of
+        the earliest repository are left by now."""
+        a = classes.select("cls", F.col("lines").alias("l1"))
+        b = classes.select(F.col("cls").alias("other"), F.col("lines").alias("l2"), "heads", "thirds")
+        return pairs.join(a, "cls").join(b, "other").where(F.size(F.array_intersect("l1", "l2")) >= F.size("l1") * contained).select("cls", "heads", "thirds")
+
+    first = cut(told(explained(probes.where("first <> cls").select("cls", F.col("first").alias("other")).distinct()), left).distinct())
+    rest = cut(left.join(first, "ord", "left_anti"))
+    again = probes.join(rest.select("cls").distinct(), "cls", "left_semi")
+    pairs = cut(again.join(lines.select(F.col("cls").alias("other"), "h"), "h").where("cls <> other").select("cls", "other").distinct())
+    return same.unionByName(first).unionByName(told(explained(pairs), rest)).distinct()
 
 
 def not_handwritten(docs: DataFrame, downloads: DataFrame) -> DataFrame:
