@@ -21,6 +21,10 @@ from tamis.plans.runtime import cut
 NO_AUTHOR = ["", "unknown", "anonymous", "n.n.", "nn", "n.n", "n/a", "na", "none", "null", "nil", "et al.", "et al", "and others", "others", "various", "various authors", "authors", "author", "the authors", "unnamed", "not available", "not specified", "unspecified", "tbd", "tba", "todo", "-", "--", "?", "."]
 
 
+#: Groups with more than one row in so many are joined by a broadcast.
+GIANTS = 1000
+
+
 def author_key(names: Column) -> Column:
     """Each name without accents, case, commas and order of its parts; null for no author."""
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -112,16 +116,21 @@ def related(records: DataFrame) -> DataFrame:
     root = components(edges)
     labelled = links.select("ord", "item", "v").join(root.withColumnRenamed("v", "w"), F.col("v") == F.col("w"), "left").select("ord", "item", F.coalesce("root", "v").alias("g"))
     labelled = cut(labelled)
-    smallest = labelled.groupBy("g").agg(F.min("item").alias("group_id"))
-    return labelled.select("ord", "g").join(smallest, "g").select("ord", "group_id")
+    smallest = cut(labelled.groupBy("g").agg(F.min("item").alias("group_id"), F.count("*").alias("n")))
+    # A group with more than a GIANTS-th of the rows would gather in one task of a join; there are fewer than GIANTS of them.
+    giant = F.col("n") * GIANTS > labelled.count()
+    few, rest = smallest.where(giant), smallest.where(~giant)
+    told = labelled.select("ord", "g").join(F.broadcast(few.select("g", F.col("group_id").alias("big"), F.lit(True).alias("giant"))), "g", "left")
+    return told.where("giant").select("ord", F.col("big").alias("group_id")).unionByName(told.where("giant is null").select("ord", "g").join(rest.select("g", "group_id"), "g").select("ord", "group_id"))
 
 
 def grouped_splits(groups: DataFrame, targets: DataFrame, id_col: str = "ord", seed: int = 1) -> DataFrame:
     """``id_col, group_id, split``: every group whole in one split, shares near ``targets``.
 
     Groups are laid along a line by the hash of their id, with their sizes as lengths; the
-    cumulative weight at a group's middle picks the split. A group longer than the smallest
-    share goes to the split of the largest share first, and the rest is filled up around it.
+    cumulative weight at a group's middle picks the split. Groups longer than the smallest
+    share, of which there are fewer than total shares in it, go one by one, the largest first, to the split with the most room
+    left, and the rest is filled up around them.
     ``targets(split, share)`` must have a few rows with positive shares; null shares are left out.
     """
     shares = sorted(((r["split"], float(r["share"])) for r in targets.where("share > 0").limit(1001).collect()), key=lambda x: (-x[1], x[0]))
@@ -132,9 +141,14 @@ def grouped_splits(groups: DataFrame, targets: DataFrame, id_col: str = "ord", s
     rows = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     big = shares[-1][1] / total * rows
     heavy = sizes.where(F.col("n") > big)
-    held = heavy.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    room = [(s, w / total * rows) for s, w in shares]
-    room = [(s, max(0.0, w - (held if i == 0 else 0))) for i, (s, w) in enumerate(room)]
+    left = {s: w / total * rows for s, w in shares}
+    placed = []
+    # Fewer than total / smallest share of them, whatever the number of groups.
+    for r in sorted(heavy.collect(), key=lambda r: (-r["n"], r["group_id"] is None, r["group_id"])):
+        to = max(left, key=lambda s: (left[s], -[x for x, _ in shares].index(s)))
+        placed.append((r["group_id"], to))
+        left[to] -= r["n"]
+    room = [(s, max(0.0, left[s])) for s, _ in shares]
     light = sizes.where(F.col("n") <= big).withColumn("h", F.xxhash64(F.lit(seed), "group_id"))
     # Prefix sums by partition of a range sort: one number per partition reaches the driver.
     laid = cut(light.repartitionByRange("h", "group_id").sortWithinPartitions("h", "group_id").withColumn("p", F.spark_partition_id()))
@@ -153,5 +167,5 @@ def grouped_splits(groups: DataFrame, targets: DataFrame, id_col: str = "ord", s
         bounds.append((s, edge))
     for s, e in reversed(bounds[:-1]):
         pick = F.when(mid <= e, F.lit(s)).otherwise(pick)
-    chosen = laid.select("group_id", pick.alias("split")).unionByName(heavy.select("group_id", F.lit(shares[0][0]).alias("split")))
+    chosen = laid.select("group_id", pick.alias("split")).unionByName(groups.sparkSession.createDataFrame(placed, "group_id string, split string"))
     return groups.join(chosen.withColumnRenamed("group_id", "g"), F.col("group_id").eqNullSafe(F.col("g"))).select(id_col, "group_id", "split")

@@ -12,7 +12,10 @@ candidates out, and an edit distance on the words of both sides decides.
 Both sides of a pair must agree, so one is enough to find all candidates: the instruction, or the
 response if that is longer and the instruction has under SHORT words or none.
 
-Left out: summing the lengths of shared chunks into overlap fractions of records; the report counts rows.
+Overlap fractions of records come from content-defined chunks: a rolling hash of the last two words cuts both sides,
+digests are joined across the splits of a build, and the lengths of shared chunks are summed by record. Such
+chunks can't find the pairs: with one word in eight edited, chunks of some words are all touched too
+often, and shorter ones stand everywhere.
 """
 
 from __future__ import annotations
@@ -176,6 +179,38 @@ def probe_keys(ins: list[list[int]], res: list[list[int]], ev: list[bool]) -> tu
     return both[0], both[1], edits
 
 
+#: A chunk ends where the rolling hash of the last ROLL words is 0 modulo MEAN, so after MEAN words on average.
+ROLL, MEAN = 2, 6
+#: Share of its words that a record must have in common with training records to be reported as mostly shared.
+MOSTLY = 0.8
+
+
+def cut_chunks(sides: list[list[int]], salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, digest, words) of the content-defined chunks of each sequence. Where a cut is depends on ROLL words only,
+    so an edit changes the chunks around it and no others."""
+    size = np.array([len(s) for s in sides], np.int64)
+    n = int(size.sum())
+    if not n:
+        return (np.empty(0, np.int64),) * 3
+    h = np.fromiter((w for s in sides for w in s), np.uint64, n)
+    seq = np.repeat(np.arange(len(sides)), size)
+    place = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+    with np.errstate(over="ignore"):
+        roll = h.copy()
+        for k in range(1, ROLL):
+            roll[k:] += np.where(place[k:] >= k, h[:-k] * np.uint64(0x9E3779B97F4A7C15 + 2 * k), np.uint64(0))
+        roll ^= roll >> np.uint64(31)
+        ends = (roll % np.uint64(MEAN) == 0) & (place >= ROLL - 1) | (place == size[seq] - 1)
+        starts = np.flatnonzero(np.concatenate([[True], ends[:-1]]))
+        length = np.diff(np.append(starts, n))
+        # A digest mixes each word with its place in the chunk.
+        inner = np.arange(n) - np.repeat(starts, length)
+        x = (h ^ (inner.astype(np.uint64) + np.uint64(salt + 1)) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        digest = np.add.reduceat(x * np.uint64(0x165667B19E3779F9), starts)
+    return seq[starts], digest.view(np.int64), length
+
+
 #: What a record is told apart by: words of both sides, and their word counts by bucket as rows of bits
 #: in numbers, 16 buckets of up to 4 for the instruction, 32 of up to 4 for the response.
 SKETCH = ["il", "rl", "w1", "w2", "w3"]
@@ -274,9 +309,45 @@ def cross_split(pairs: DataFrame) -> DataFrame:
     return same.unionByName(like).select(F.least("ord", "ord2").alias("ord_a"), F.greatest("ord", "ord2").alias("ord_b"))
 
 
+def overlap_fractions(pairs: DataFrame) -> DataFrame:
+    """``ord, build, split, source_id, words, shared``: for every row of a split other than train, its words on both sides and
+    how many of them lie in content-defined chunks that stand on the same side of some training row of its build.
+
+    Rows with null build or split are left out; rows without words have zeros; repeated rows count each. Every
+    training digest is one row before the join, so a chunk that stands in a third of all rows meets one partner.
+    """
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, parts = b.num_rows, []
+            total = np.zeros(n, np.int64)
+            for salt, c in enumerate(("instruction", "response")):
+                sides = [words(t) for t in b.column(c).to_pylist()]
+                total += np.array([len(x) for x in sides], np.int64)
+                parts.append(cut_chunks(sides, salt))
+            seq, digest, length = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(seq, kind="stable")
+            off = pa.array(np.searchsorted(seq[order], np.arange(n + 1)), pa.int32())
+            chunks = [pa.ListArray.from_arrays(off, pa.array(x[order], t)) for x, t in ((digest, pa.int64()), (length, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("ord", "key", "ev", "build", "split", "source_id")), pa.array(total), *chunks], ["ord", "key", "ev", "build", "split", "source_id", "words", "digests", "lengths"])
+
+    src = pairs.where("build is not null and split is not null").select("ord", F.xxhash64("build").alias("key"), (F.col("split") != "train").alias("ev"), F.when(F.col("split") != "train", F.col("build")).alias("build"), F.when(F.col("split") != "train", F.col("split")).alias("split"), F.when(F.col("split") != "train", F.col("source_id")).alias("source_id"), "instruction", "response")
+    kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("ord", "source_id")}
+    recs = written(spread(src).mapInArrow(run, f"ord {kinds['ord']}, key bigint, ev boolean, build string, split string, source_id {kinds['source_id']}, words bigint, digests array<bigint>, lengths array<int>"))
+    mark = lambda d: F.xxhash64("key", d).alias("d")
+    train = recs.where("not ev").select("key", F.explode("digests").alias("x")).select(mark("x")).distinct()
+    held = recs.where("ev").select("ord", "key", F.explode(F.arrays_zip("digests", "lengths")).alias("x")).select("ord", mark("x.digests"), F.col("x.lengths").alias("n"))
+    shared = held.join(train, "d", "left_semi").groupBy("ord").agg(F.sum("n").alias("shared"))
+    return recs.where("ev").select("ord", "build", "split", "source_id", "words").join(shared, "ord", "left").withColumn("shared", F.coalesce("shared", F.lit(0)).cast("long"))
+
+
 def overlap_report(pairs: DataFrame) -> DataFrame:
-    """Overlapping evaluation rows by build, split and source_id."""
+    """By build, split and source_id: evaluation rows, those that are the same or nearly the same as a training row
+    (:func:`cross_split`), those of which MOSTLY the words are shared with training rows, and the shared fraction of all words
+    (null without words). Groups without any overlap are in it too."""
     found = cross_split(pairs)
-    each = found.select(F.col("ord_a").alias("ord")).union(found.select("ord_b")).distinct()
-    rows = pairs.where("build is not null and split <> 'train'").select("ord", "build", "split", "source_id")
-    return rows.join(each, "ord", "left_semi").groupBy("build", "split", "source_id").agg(F.count("*").alias("rows"))
+    each = found.select(F.col("ord_a").alias("ord")).union(found.select("ord_b")).distinct().withColumn("near", F.lit(1))
+    rows = overlap_fractions(pairs).join(each, "ord", "left")
+    mostly = (F.col("words") > 0) & (F.col("shared") >= MOSTLY * F.col("words"))
+    return rows.groupBy("build", "split", "source_id").agg(F.count("*").alias("rows"), F.count("near").alias("near_rows"), F.count_if(mostly).alias("mostly_shared"), F.round(F.try_divide(F.sum("shared"), F.sum("words")), 4).alias("shared_fraction"))

@@ -305,7 +305,7 @@ def test_overlap_against_all_pairs(spark):
     got = [(r.ord_a, r.ord_b) for r in overlap.cross_split(df).collect()]
     assert set(got) == want and len(got) == len(want) > 20 and (200, 201) in want
     assert overlap.cross_split(df.limit(0)).count() == 0
-    assert overlap.overlap_report(df.withColumn("source_id", F.lit("a/b"))).agg(F.sum("rows")).first()[0] == len({o for p in want for o in p if dict((r[0], r[4]) for r in rows)[o] != "train"})
+    assert overlap.overlap_report(df.withColumn("source_id", F.lit("a/b"))).agg(F.sum("near_rows")).first()[0] == len({o for p in want for o in p if dict((r[0], r[4]) for r in rows)[o] != "train"})
 
 
 # 7 ------------------------------------------------------------------------------------------
