@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
 from collections.abc import Iterable
 from datetime import UTC, datetime
 
@@ -12,12 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.functions import text as T
-from tamis.plans.runtime import cut
+from tamis.plans.runtime import cut, positions
 
 SYSTEM_PROMPT = "You are a careful programming assistant."
 FIELDS = ["instruction", "response", "context", "messages"]
-#: Records up to which the seeded shuffle, a list on the driver, is made; more must ask for ``hash``.
-SHUFFLE_ROWS = 5_000_000
 
 
 class SchemaError(ValueError):
@@ -44,47 +41,21 @@ def check_ratio(val_ratio: float) -> None:
         raise ValueError("val_ratio must be in [0, 1)")
 
 
-def split(recs: DataFrame, order: str, val_ratio: float = 0.1, seed: int = 42, mode: str = "shuffle") -> DataFrame:
+def split(recs: DataFrame, order: str, val_ratio: float = 0.1, seed: int = 42) -> DataFrame:
     """``recs`` with ``split`` and ``pos``, the place in its split.
 
-    ``shuffle``: the seeded shuffle of the positions 0..n-1; its first int(n * ratio) places are
-    validation. ``hash``: the int(n * ratio) rows with the least hash of seed and key. Both
-    depend on order keys only, never on partitioning. The mode never changes with the size: a shuffle
-    of more than SHUFFLE_ROWS records raises.
+    The seed shuffles by the order of SHA-256 over seed and key, which is the same at every size and needs no
+    list of all records anywhere; the first int(n * ratio) places are validation, the rest are training rows.
+    Both depend on keys only, never on partitioning.
     """
     check_ratio(val_ratio)
-    if mode not in ("shuffle", "hash"):
-        raise ValueError("mode must be shuffle or hash")
-    n = recs.count()
-    n_val = int(n * val_ratio)
-    if mode == "shuffle" and n > SHUFFLE_ROWS:
-        raise ValueError(f"{n} records are too many to shuffle; ask for mode 'hash'")
-    spark = recs.sparkSession
-    placed = _positions(recs, [F.col(order)] if mode == "shuffle" else [F.sha2(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string")), 256), F.col(order)])
-    if mode == "shuffle":
-        perm = list(range(n))
-        random.Random(seed).shuffle(perm)
-        places = spark.createDataFrame([(p, i) for i, p in enumerate(perm)], "__pos bigint, __new bigint")
-        placed = placed.join(places, "__pos").drop("__pos").withColumnRenamed("__new", "__pos")
+    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string")), 256)
+    placed = cut(positions(recs, [key, F.col(order)], "__pos"))
+    n_val = int(placed.count() * val_ratio)
     val = F.col("__pos") < n_val
     return placed.withColumn("split", F.when(val, "validation").otherwise("train")).withColumn("pos", F.when(val, F.col("__pos")).otherwise(F.col("__pos") - n_val)).drop("__pos")
 
 
-def _positions(df: DataFrame, order: list) -> DataFrame:
-    """``df`` with ``__pos``, the place of each row under ``order``, by a range sort and the counts of
-    its partitions."""
-    laid = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id()))
-    p = F.shiftright("__m", 33)
-    sums = dict(laid.groupBy(p.cast("int")).count().collect())
-    start, acc = {}, 0
-    for k in sorted(sums):
-        start[k], acc = acc, acc + sums[k]
-    if not start:
-        return laid.withColumn("__pos", F.lit(0).cast("long")).drop("__m")
-    base = F.element_at(F.create_map(*[x for k, v in start.items() for x in (F.lit(k), F.lit(v).cast("long"))]), p.cast("int"))
-    return laid.withColumn("__pos", base + F.col("__m").bitwiseAND((1 << 33) - 1)).drop("__m")
-
-
 def split_sizes(recs: DataFrame) -> DataFrame:
     return recs.groupBy("split").agg(F.count("*").alias("records"))
 
@@ -153,12 +124,24 @@ def file_entry(spark: SparkSession, path: str, split_name: str, fmt: str, count:
     return {"path": p.getName(), "split": split_name, "format": fmt, "records": count, "bytes": size, "sha256": digest.hexdigest()}
 
 
-def build(pairs: DataFrame, name: str, out: str, order: str = "ord", val_ratio: float = 0.1, seed: int = 42, formats: Iterable[str] = ("jsonl",), stats: dict | None = None, system_prompt: str = SYSTEM_PROMPT, on_error: str = "raise", mode: str = "shuffle") -> dict:
+def part_entries(spark: SparkSession, path: str, split_name: str, fmt: str) -> list[dict]:
+    """Entries of the part files of a folder; sizes, digests and records are taken in tasks, a file each."""
+    files = spark.read.format("binaryFile").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    read = spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)
+    rows = read.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(F.count("*").alias("n"))
+    got = files.select(name.alias("file"), "length", F.sha2("content", 256).alias("sha256")).join(rows, "file", "left").orderBy("file").collect()
+    base = path.rsplit("/", 1)[-1]
+    return [{"path": f"{base}/{r.file}", "split": split_name, "format": fmt, "records": r.n or 0, "bytes": r.length, "sha256": r.sha256} for r in got]
+
+
+def build(pairs: DataFrame, name: str, out: str, order: str = "ord", val_ratio: float = 0.1, seed: int = 42, formats: Iterable[str] = ("jsonl",), stats: dict | None = None, system_prompt: str = SYSTEM_PROMPT, on_error: str = "raise", single: bool = True) -> dict:
     """Writes ``<name>.<split>.<format>`` and ``<name>.manifest.json``; returns the manifest. An empty
-    validation split isn't written, an empty training split is."""
+    validation split isn't written, an empty training split is. Without ``single`` a split is a folder of part files,
+    written in parallel, with an entry for each in the manifest."""
     check_ratio(val_ratio)
     spark = pairs.sparkSession
-    done = cut(split(records(pairs, [order], system_prompt, on_error), order, val_ratio, seed, mode))
+    done = cut(split(records(pairs, [order], system_prompt, on_error), order, val_ratio, seed))
     sizes = dict(split_sizes(done).collect())
     counts = {"train": sizes.get("train", 0), "validation": sizes.get("validation", 0)}
     files = []
@@ -169,8 +152,8 @@ def build(pairs: DataFrame, name: str, out: str, order: str = "ord", val_ratio:
         for fmt, write in (("jsonl", write_jsonl), ("parquet", write_parquet)):
             if fmt in formats:
                 path = f"{out}/{name}.{s}.{fmt}"
-                write(part, path)
-                files.append(file_entry(spark, path, s, fmt, n))
+                write(part, path, single)
+                files += [file_entry(spark, path, s, fmt, n)] if single else part_entries(spark, path, s, fmt)
     manifest = {"name": name, "created_at": datetime.now(UTC).isoformat(), "total_records": sum(counts.values()), "splits": counts, "files": files, "schema_fields": FIELDS, "stats": stats or {}}
     fs, p, _ = _fs(spark, f"{out}/{name}.manifest.json")
     f = fs.create(p, True)
@@ -185,5 +168,3 @@ def export_jsonl(pairs: DataFrame, path: str) -> str:
     """All pairs, unsplit, in one file."""
     write_jsonl(records(pairs), path)
     return path
-
-

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions import text as T
@@ -115,5 +115,7 @@ def clean_stats(cleaned: DataFrame) -> DataFrame:
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The first row of each key by ``order`` (incremental exact deduplication)."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("__rn = 1").drop("__rn")
+    """The first row of each key by ``order`` (incremental exact deduplication), an aggregation with map-side combine."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(order))
+    return df.groupBy(*keys).agg(row.alias("__x")).select(*keys, "__x.*").select(*df.columns)

@@ -2,7 +2,7 @@
 
 Options: ``query``, ``max_results``, ``page_size``, ``delay`` (seconds between pages), ``base`` (address of
 the interface, or a folder of saved pages ``1.json``/``0.xml`` for replays), ``token``, ``sort``,
-``order``. Pages are read one after another in one task, as such interfaces ask for.
+``order``. Without a ``token`` that of the environment is taken, or a warning says that there is none. Pages are read one after another in one task, as such interfaces ask for.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import time
+import warnings
 from collections.abc import Iterator
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
@@ -23,11 +24,20 @@ def page_plan(max_results: int, page_size: int, largest: int = 100) -> int:
     return min(largest, page_size, max(1, max_results))
 
 
+def token_of(options: dict, env: dict | None = None) -> str:
+    """The token among the options, else in the environment; a live interface without one is slow, which a warning says."""
+    token = options.get("token") or (os.environ if env is None else env).get("TAMIS_HOST_TOKEN", "")
+    if not token and "://" in options.get("base", ""):
+        warnings.warn("no token for the code host: requests are limited to few an hour", stacklevel=2)
+    return token
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, suffix: str):
         self.o, self.suffix = dict(options), suffix
         self.most = int(self.o.get("max_results", 100))
         self.size = page_plan(self.most, int(self.o.get("page_size", 100)))
+        self.o["token"] = token_of(self.o)
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,11 @@ class CodeHostReplay(Source):
         key = F.desc_nulls_last(col) if order == "desc" else F.asc_nulls_last(col)
         return code_host_records(rows.orderBy(key, "full_name").limit(max(0, max_results)))
 
+    def search_repositories(self, query: str, max_results: int = 100, **kw: object) -> DataFrame:
+        """An older name of :meth:`search`."""
+        warnings.warn("search_repositories is now search", DeprecationWarning, stacklevel=2)
+        return self.search(query, max_results, **kw)
+
 
 class PaperFeedReplay(Source):
     """Saved paper feeds (option ``path``: Atom)."""

@@ -40,9 +40,11 @@ def test_import_clean(spark):
 
 
 def test_judge(spark):
-    assert J.parse_reply('{"correctness": 1, "idiomatic": "0.5", "completeness": 0.5, "alignment": 1}')[0] == 0.75
-    assert J.parse_reply('so\n```json\n{"correctness": 2.0, "idiomatic": -1, "completeness": true, "alignment": "x"}\n```')[1] == {"correctness": 1.0, "idiomatic": 0.0, "completeness": 1.0, "alignment": 0.0}
-    assert [J.parse_reply(x)[0] for x in (None, "", "junk", "[1]")] == [0.0] * 4 and J.clamp(float("nan")) == 0.0
+    said = ['{"correctness": 1, "idiomatic": "0.5", "completeness": 0.5, "alignment": 1}', 'so\n```json\n{"correctness": 2.0, "idiomatic": -1, "completeness": true, "alignment": "x"}\n```', None, "", "junk", "[1]", '{"correctness": "nan"}']
+    raw = spark.createDataFrame([(i, x) for i, x in enumerate(said)], "k int, r string")
+    got = [r.v for r in raw.select("k", J.parsed_reply(F.col("r")).alias("v")).orderBy("k").collect()]
+    assert got[0].score == 0.75 and got[1].axes == {"correctness": 1.0, "idiomatic": 0.0, "completeness": 1.0, "alignment": 0.0}
+    assert [v.score for v in got[2:]] == [0.0] * 5 and [v.rationale for v in got[2:]] == ["empty reply", "empty reply", "unreadable reply", "unreadable reply", ""]
     df = spark.createDataFrame([(1, "a", "b"), (2, " ", "b"), (3, None, "b"), (4, " a ", "b")], "ord int, instruction string, response string")
     s = {r.ord: r.judge_score for r in J.judge_offline(df).collect()}
     import hashlib
@@ -88,8 +90,9 @@ def test_generate(spark):
     made = G.offline_pairs(units, 3)
     assert made.count() == 6 and G.offline_pairs(units, 0).count() == 0
     assert made.exceptAll(G.offline_pairs(units.repartition(3), 3)).count() == 0
-    assert G.parse_pairs('x ```json\n{"pairs": [{"instruction": "a", "response": "b"}]}\n``` y') == [("a", "b")]
-    assert G.parse_pairs('[{"instruction": "a", "response": " "}, {"instruction": "c", "response": 1}]') == [("c", "1")] and G.parse_pairs("junk") == []
+    said = ['x ```json\n{"pairs": [{"instruction": "a", "response": "b"}]}\n``` y', '[{"instruction": "a", "response": " "}, {"instruction": "c", "response": 1}] tail', "junk", None, '{"pairs": 3}']
+    raw = spark.createDataFrame([(i, x) for i, x in enumerate(said)], "k int, r string")
+    assert [[tuple(x) for x in r.p] for r in raw.select("k", G.parsed_pairs(F.col("r")).alias("p")).orderBy("k").collect()] == [[("a", "b")], [("c", "1")], [], [], []]
     cost = spark.createDataFrame([(i, 1.0) for i in range(10)], "ord int, cost double").repartition(4)
     assert sorted(r.ord for r in G.running_total_cap(cost, ["ord"], "cost", 2.5).collect()) == [0, 1, 2]
     assert G.running_total_cap(cost, ["ord"], "cost", 0.0).count() == 0 and G.capped_rows(cost, ["ord"], 0).count() == 0
@@ -107,11 +110,12 @@ def test_build(spark, tmp_path):
     assert len(back) == 8 and back[0].messages[0].role == "system" and back[0].messages[2].content == back[0].response
     again = B.build(pairs.repartition(5), "again", str(tmp_path), val_ratio=0.2, seed=7)
     assert [f["sha256"] for f in again["files"]] == [f["sha256"] for f in m["files"] if f["format"] == "jsonl"]
-    import random
+    import hashlib
 
-    perm = list(range(10))
-    random.Random(7).shuffle(perm)
-    assert [int(r.instruction.split()[1]) for r in back] == perm[2:]
+    by = sorted(range(10), key=lambda i: hashlib.sha256(f"7:{i}".encode()).hexdigest())
+    assert [int(r.instruction.split()[1]) for r in back] == by[2:]
+    parts = B.build(pairs, "parts", str(tmp_path), val_ratio=0.2, seed=7, formats=("jsonl", "parquet"), single=False)
+    assert sum(f["records"] for f in parts["files"]) == 20 and all(len(f["sha256"]) == 64 for f in parts["files"])
     assert B.build(pairs, "none", str(tmp_path), val_ratio=0.0)["splits"] == {"train": 10, "validation": 0}
     assert not (tmp_path / "none.validation.jsonl").exists()
     with pytest.raises(ValueError):
@@ -120,5 +124,5 @@ def test_build(spark, tmp_path):
     with pytest.raises(Exception, match="record without"):
         B.records(bad).collect()
     assert B.records(bad, on_error="drop").count() == 0
-    assert B.split(B.records(pairs, ["ord"]), "ord", 0.3, 1, "hash").where("split = 'validation'").count() == 3
+    assert B.split(B.records(pairs, ["ord"]), "ord", 0.3, 1).where("split = 'validation'").count() == 3
     assert C.CleanOptions().near_threshold == 0.85
