@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tamis.plans.runtime import cut, spread
 
+log = logging.getLogger(__name__)
+
 PERMUTATIONS, SHINGLE = 64, 5
 PRIME = (1 << 61) - 1
 
@@ -90,22 +93,68 @@ def least_equal(threshold: float, permutations: int = PERMUTATIONS) -> int:
     return next(k for k in range(permutations + 1) if k / permutations >= threshold)
 
 
+def band_plan(threshold: float, permutations: int = PERMUTATIONS) -> tuple[int, int]:
+    """Number of bands, and in how many of them two signatures that reach the threshold may differ: bands are twice as
+    many as the least power of two that leaves some of them equal, so that several must be."""
+    apart = permutations - least_equal(threshold, permutations)
+    n = 1
+    while n < min(permutations, 1.5 * apart + 1):
+        n *= 2
+    return min(n, permutations), apart
+
+
 def bands(sig: Column, threshold: float, permutations: int = PERMUTATIONS) -> Column:
-    """Keys of disjoint bands, one more than places may differ: two signatures that reach the
-    threshold are equal in at least one whole band."""
-    n = permutations - least_equal(threshold, permutations) + 1
+    """Keys of disjoint bands of a signature."""
+    n, _ = band_plan(threshold, permutations)
     edges = [round(i * permutations / n) for i in range(n + 1)]
-    return F.array(*[F.xxhash64(F.lit(i), F.slice(sig, edges[i] + 1, edges[i + 1] - edges[i])) for i in range(n) if edges[i + 1] > edges[i]])
+    return F.array(*[F.xxhash64(F.lit(i), F.slice(sig, edges[i] + 1, edges[i + 1] - edges[i])) for i in range(n)])
+
 
+def buckets(reps: DataFrame, threshold: float) -> DataFrame:
+    """``ord, k`` such that two rows of ``reps(ord, sig)`` that reach the threshold share a ``k``.
 
-def greedy_near_duplicates(docs: DataFrame, threshold: float = 0.85, hash_: str = "blake2b") -> DataFrame:
+    Of ``n`` bands they differ in at most ``m``. In the common order from rare to frequent, one of the ``m + 1``
+    rarest bands of each is among those that both have: only these are kept, so a band that a third of all rows have
+    is hardly ever a bucket. Bands that stand alone count as different and leave fewer to keep.
+    """
+    n, m = band_plan(threshold)
+    keyed = reps.select("ord", F.explode(bands(F.col("sig"), threshold)).alias("k"))
+    shared = keyed.groupBy("k").agg(F.count("*").alias("df")).where("df > 1")
+    held = keyed.join(shared, "k").groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("df", "k"))).alias("s"))
+    left = F.lit(m + 1 - n) + F.size("s")
+    return held.where(left > 0).select("ord", F.explode(F.slice("s", F.lit(1), left)).alias("x")).select("ord", "x.k")
+
+
+def _settled(fronts: DataFrame, edges: DataFrame) -> tuple[DataFrame, int]:
+    """``ord, kept`` of what ``edges(ord, head)`` (similar, ``head`` earlier) decide of the rows: one of ``fronts(ord)``, of which all
+    earlier similar rows are among its edges, is kept when these are all dropped, and every row with an edge to a kept one is
+    dropped. Also the number of steps."""
+    done, open_, live, steps = None, fronts, edges, 0
+    while True:
+        kept = cut(open_.join(live.select("ord").distinct(), "ord", "left_anti"))
+        if kept.isEmpty():
+            return done if done is not None else kept.withColumn("kept", F.lit(True)), steps
+        dropped = cut(live.join(kept.select(F.col("ord").alias("head")), "head", "left_semi").select("ord").distinct())
+        new = kept.withColumn("kept", F.lit(True)).unionByName(dropped.withColumn("kept", F.lit(False)))
+        done, steps = new if done is None else done.unionByName(new), steps + 1
+        # Edges of and to dropped rows say nothing more.
+        live = cut(live.join(dropped, "ord", "left_anti").join(dropped.select(F.col("ord").alias("head")), "head", "left_anti"))
+        open_ = open_.join(new.select("ord"), "ord", "left_anti")
+        if live.isEmpty():
+            rest = open_.withColumn("kept", F.lit(True))
+            return done.unionByName(rest), steps
+
+
+def greedy_near_duplicates(docs: DataFrame, threshold: float = 0.85, hash_: str = "blake2b", heads: int = 16) -> DataFrame:
     """``ord`` of documents that a scan in order would drop: similar to an earlier kept one.
 
-    Equal signatures collapse to their first document. Of the rest, a document that is first
-    in all its buckets is kept; only kept documents are compared with the members of their
-    buckets, never all pairs of a bucket; what is decided leaves, and the next round goes on
-    until every bucket is spent. Needs 0 < threshold <= 1.
+    Equal signatures collapse to their first document. Of the rest, each round compares the members of every bucket with its
+    first ``heads`` documents, never all pairs of a bucket. A document that is among the first in all its buckets has
+    met all earlier ones that it could be similar to, so the similar pairs found decide it; what is decided leaves, and
+    the next round goes on until every bucket is spent. Needs 0 < threshold <= 1.
     """
+    from pyspark.sql import Window
+
     sigs = cut(signatures(docs, hash_))
     first = cut(sigs.groupBy("sig").agg(F.min("ord").alias("first")))
     copies = sigs.join(first, "sig").where("ord <> first").select("ord")
@@ -113,19 +162,21 @@ def greedy_near_duplicates(docs: DataFrame, threshold: float = 0.85, hash_: str
     reps = first.select(F.col("first").alias("ord"), "sig")
     if need == PERMUTATIONS:
         return copies
-    keyed = reps.select("ord", F.explode(bands(F.col("sig"), threshold)).alias("k"))
-    crowded = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-    left = cut(keyed.join(crowded, "k"))
-    gone = None
+    crowded = lambda b: cut(b.join(b.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "k"))
+    left, gone, rounds, steps = crowded(buckets(reps, threshold)), None, 0, 0
     while not left.isEmpty():
-        heads = left.groupBy("k").agg(F.min("ord").alias("head"), F.count("*").alias("n"))
-        marked = left.join(heads, "k")
-        free = marked.groupBy("ord").agg(F.bool_and(F.col("ord") == F.col("head")).alias("free")).where("free").select(F.col("ord").alias("pivot"))
-        met = marked.where("ord <> head").select("ord", "head").distinct().join(free, F.col("head") == F.col("pivot")).select("ord", "pivot")
-        a, b = reps.toDF("ord", "s1"), reps.toDF("pivot", "s2")
-        dropped = cut(met.join(a, "ord").join(b, "pivot").where(equal_places(F.col("s1"), F.col("s2")) >= need).select("ord").distinct())
+        # The limit on the rank is taken before the shuffle too, so a large bucket sends few rows.
+        rank = F.row_number().over(Window.partitionBy("k").orderBy("ord"))
+        front = cut(left.withColumn("r", rank).where(F.col("r") <= heads).select("k", F.col("ord").alias("head")))
+        last = front.groupBy("k").agg(F.max("head").alias("last"))
+        fronts = cut(left.join(last, "k").groupBy("ord").agg(F.bool_and(F.col("ord") <= F.col("last")).alias("ok")).where("ok").select("ord"))
+        met = left.join(front, "k").where("head < ord").select("ord", "head").distinct()
+        a, b = reps.toDF("ord", "s1"), reps.toDF("head", "s2")
+        edges = cut(met.join(a, "ord").join(b, "head").where(equal_places(F.col("s1"), F.col("s2")) >= need).select("ord", "head"))
+        done, n = _settled(fronts, edges)
+        done, rounds, steps = cut(done), rounds + 1, steps + n
+        dropped = done.where("not kept").select("ord")
         gone = dropped if gone is None else gone.unionByName(dropped)
-        rest = left.join(dropped, "ord", "left_anti").join(free, F.col("ord") == F.col("pivot"), "left_anti")
-        still = rest.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-        left = cut(rest.join(still, "k"))
+        left = crowded(left.join(done.select("ord"), "ord", "left_anti"))
+    log.info("near-duplicates: %d rounds, %d steps", rounds, steps)
     return copies if gone is None else copies.unionByName(gone)
