@@ -46,7 +46,9 @@ def definitions() -> list[str]:
     made = ", ".join(f"{_strip('coalesce(' + _field('x', n) + f', {chr(39)*2})')} AS {n}" for n in ("instruction", "response"))
     return [
         f"tamis_unfenced(raw STRING) RETURNS STRING RETURN CASE WHEN {_strip('raw')} rlike {_r(FENCE)} THEN {_strip(f'regexp_extract({_strip("raw")}, {_r(FENCE)}, 1)')} ELSE {_strip('raw')} END",
-        f"tamis_json(t STRING) RETURNS VARIANT RETURN coalesce(try_parse_json(t), try_parse_json({_widest('{', '}')}), try_parse_json({_widest('[', ']')}))",
+        "tamis_values(t STRING) RETURNS ARRAY<VARIANT> RETURN try_variant_get(try_parse_json('[' || t || ']'), '$', 'array<variant>')",
+        "tamis_one(x ARRAY<VARIANT>) RETURNS VARIANT RETURN CASE WHEN size(x) = 1 THEN x[0] END",
+        f"tamis_json(t STRING) RETURNS VARIANT RETURN coalesce(tamis_one(tamis_values(t)), tamis_one(tamis_values({_widest('{', '}')})), tamis_one(tamis_values({_widest('[', ']')})))",
         f"tamis_axes(v VARIANT) RETURNS MAP<STRING, DOUBLE> RETURN map({axes})",
         f"tamis_reply(raw STRING, v VARIANT) RETURNS STRUCT<score: DOUBLE, axes: MAP<STRING, DOUBLE>, rationale: STRING> RETURN struct(round(aggregate(map_values(tamis_axes(v)), 0D, (a, x) -> a + x) / {len(AXES)}, 6) AS score, tamis_axes(v) AS axes, CASE WHEN raw IS NULL OR NOT raw rlike r'[^{T.WS}]' THEN 'empty reply' WHEN v IS NULL THEN 'unreadable reply' ELSE {_strip('coalesce(' + _field('v', 'rationale') + f', {chr(39)*2})')} END AS rationale)",
         "tamis_object(v VARIANT) RETURNS VARIANT RETURN CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN v END",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ WORD = r"[\p{L}\p{N}_]+"
 TRUNCATED = "\n... [truncated]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     """White space of any kind removed at both ends."""
     return F.regexp_replace(c, rf"\A[{WS}]+|[{WS}]+\z", "")
@@ -46,7 +53,7 @@ def shingles(c: Column, n: int = 5) -> Column:
         return F.when(F.size(w) >= n, F.array_distinct(each)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
 
     # The list is bound to a variable, else each gram would split the text again.
-    return F.element_at(F.transform(F.array(word_list(c)), grams), 1)
+    return let(word_list(c), grams)
 
 
 def truncate_lines(c: Column, n: int = 8000) -> Column:

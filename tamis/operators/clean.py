@@ -31,6 +31,8 @@ class CleanOptions:
     near_threshold: float = 0.85
     scrub: bool = True
     min_printable: float = 0.85
+    #: Hash of the shingles: blake2b or sha256.
+    hash: str = "blake2b"
 
 
 def wanted_path(path: Column, extensions: list[str] | None = None, excludes: list[str] | None = None) -> Column:
@@ -94,7 +96,7 @@ def clean(docs: DataFrame, order: str = "ord", o: CleanOptions = CleanOptions(),
     if o.near_threshold <= 0:
         first = live.agg(F.min(order).alias("__m"))
         return out.join(first, F.lit(True), "left").withColumn("drop_reason", F.when(F.col("drop_reason").isNull() & (F.col(order) != F.col("__m")), "near_duplicate").otherwise(F.col("drop_reason"))).drop("__m")
-    near = greedy_near_duplicates(live.select(F.col(order).alias("ord"), F.col(content).alias("text")), o.near_threshold)
+    near = greedy_near_duplicates(live.select(F.col(order).alias("ord"), F.col(content).alias("text")), o.near_threshold, o.hash)
     out = out.join(near.select(F.col("ord").alias("__near")), F.col(order) == F.col("__near"), "left")
     return out.withColumn("drop_reason", F.when(F.col("__near").isNotNull(), "near_duplicate").otherwise(F.col("drop_reason"))).drop("__near")
 

@@ -93,8 +93,8 @@ def import_clean(pairs: DataFrame, order: str = "ord", o: CleanOptions = CleanOp
     for f in fields:
         pairs = scrub(pairs, f, f"__r_{f}")
     pairs = pairs.withColumn("redactions", sum((F.col(f"__r_{f}") for f in fields[1:]), F.col("__r_instruction"))).drop(*[f"__r_{f}" for f in fields])
-    pairs = pairs.where(~T.is_blank(F.col("instruction")) & ~T.is_blank(F.col("response")))
     parts = [F.when(F.col(f) != "", F.col(f)) for f in ("instruction", "context", "response")]
-    joined = written(pairs).withColumn("content", F.concat_ws("\n\n", *parts)).withColumnRenamed("redactions", "__red")
+    # Written before the filter, so that it reads redacted texts and doesn't redact them again.
+    joined = written(pairs).where(~T.is_blank(F.col("instruction")) & ~T.is_blank(F.col("response"))).withColumn("content", F.concat_ws("\n\n", *parts)).withColumnRenamed("redactions", "__red")
     done = clean(joined, order, o, license_=None)
     return done.drop("redactions", "content").withColumnRenamed("__red", "redactions")

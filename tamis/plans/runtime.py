@@ -53,15 +53,21 @@ def _drop_tables() -> None:
             shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
 
 
+def scratch(spark: SparkSession, ending: str = "") -> str:
+    """A path of its own in the shared checkpoint folder, removed when the program ends."""
+    if not _TABLES:
+        atexit.register(_drop_tables)
+    path = f"{checkpoint_dir(spark)}/tamis-{uuid.uuid4().hex}{ending}"
+    _TABLES.append((spark, path))
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared checkpoint folder: smaller than a checkpoint, and
     later reads take only the columns they need. Order and partitioning aren't kept. The table is
     removed when the program ends."""
     spark = df.sparkSession
-    if not _TABLES:
-        atexit.register(_drop_tables)
-    path = f"{checkpoint_dir(spark)}/tamis-{uuid.uuid4().hex}.parquet"
-    _TABLES.append((spark, path))
+    path = scratch(spark, ".parquet")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.functions import redact
 from tamis.functions import text as T
 from tamis.functions.redact import scrub
 from tamis.operators import build as B
@@ -74,20 +75,19 @@ def path_filter(spark, d):
     return _t(spark, d, "documents_raw").where(C.wanted_path(F.col("file_path"), [".go", ".py"])).select("ord")
 
 
-_PII = [
-    (r"-----BEGIN (?:RSA |EC |OPENSSH |DSA |PGP )?PRIVATE KEY-----.*?-----END (?:RSA |EC |OPENSSH |DSA |PGP )?PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]", "s"),
-    (r"\bAKIA[0-9A-Z]{16}\b", "[REDACTED_AWS_KEY]", ""),
-    (r"\bgh[pousr]_[A-Za-z0-9]{36,}\b", "[REDACTED_GH_TOKEN]", ""),
-    (r"\bsk-[A-Za-z0-9]{20,}\b", "[REDACTED_API_KEY]", ""),
-    (r"\bxox[baprs]-[A-Za-z0-9-]{10,}\b", "[REDACTED_SLACK_TOKEN]", ""),
-    (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "[REDACTED_EMAIL]", ""),
-]
+def _re2(rx: str) -> tuple[str, str]:
+    """A redaction pattern in the dialect of the SQL engine, which has word borders for look-arounds, and its options."""
+    plain = rx.replace(redact._L, r"\b").replace(redact._R, r"\b")
+    return plain.removeprefix("(?s)"), "s" if plain.startswith("(?s)") else ""
+
+
+_PII = [(*_re2(rx), to) for rx, to in redact.PATTERNS]
 
 
 def _scrub_sql(source: str, cols: str) -> str:
     """Common table expressions s0..s6 of the redaction stages of a text column c."""
     out = [f"s0 AS ({source})"]
-    for i, (rx, to, opt) in enumerate(_PII):
+    for i, (rx, opt, to) in enumerate(_PII):
         o = "'g" + opt + "'"
         body = f"(?s){rx}" if opt else rx
         out.append(f"s{i + 1} AS (SELECT {cols}, regexp_replace(c, '{rx}', '{to}', {o}) AS c, n + coalesce(len(regexp_extract_all(c, '{body}')), 0) AS n FROM s{i})")
@@ -146,26 +146,29 @@ def shingles(spark, d):
     return docs.select("doc_id", F.size(T.word_list(F.col("text"))).cast("long").alias("words"), F.size(T.shingles(F.col("text"))).cast("long").alias("shingles"))
 
 
-@query()
-def minhash_sha256(spark, d):
-    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("ord"), "text")
-    return M.signatures(docs, "sha256").select(F.col("ord").alias("doc_id"), F.md5(F.array_join(F.transform("sig", lambda x: x.cast("string")), ",")).alias("digest"))
+_FIRST = "CASE WHEN {0} THEN {1} WHEN {2} THEN {3} ELSE '' END"
 
 
 @query(
-    "SELECT ord, md5(i) AS instruction, md5(r) AS response, md5(c) AS context FROM (SELECT ord, " + _strip("instruction") + " AS i, " + _strip("response") + " AS r, " + _strip(f"CASE WHEN {_filled('context')} THEN context ELSE '' END") + " AS c FROM pairs) WHERE i <> '' AND r <> ''"
+    "WITH k AS (SELECT ord, CASE WHEN ord % 3 <> 0 THEN instruction ELSE ' ' END AS instruction, CASE WHEN ord % 3 = 0 THEN instruction END AS question, CASE WHEN ord % 4 <> 1 THEN response END AS output, CASE WHEN ord % 4 = 1 THEN response ELSE 'late' END AS code, CASE WHEN ord % 2 = 0 THEN context END AS context, role AS input FROM pairs)\n"
+    "SELECT ord, md5(i) AS instruction, md5(r) AS response, md5(c) AS context FROM (SELECT ord, "
+    + ", ".join(_strip(_FIRST.format(_filled(a), a, _filled(b), b)) + f" AS {n}" for a, b, n in (("instruction", "question", "i"), ("output", "code", "r"), ("context", "input", "c")))
+    + " FROM k) WHERE i <> '' AND r <> ''"
 )
 def normalize_rows(spark, d):
-    rows = P.normalize(_t(spark, d, "pairs"), ["ord"])
-    return rows.select("ord", *[F.md5(c).alias(c) for c in ("instruction", "response", "context")])
+    when = lambda c, x: F.when(F.expr(c), F.col(x))
+    rows = _t(spark, d, "pairs").select("ord", F.coalesce(when("ord % 3 <> 0", "instruction"), F.when(F.expr("ord % 3 = 0"), F.lit(" "))).alias("instruction"), when("ord % 3 = 0", "instruction").alias("question"), when("ord % 4 <> 1", "response").alias("output"), F.when(F.expr("ord % 4 = 1"), F.col("response")).otherwise("late").alias("code"), when("ord % 2 = 0", "context").alias("context"), F.col("role").alias("input"), F.lit(7).alias("task"))
+    return P.normalize(rows, ["ord"]).select("ord", *[F.md5(c).alias(c) for c in ("instruction", "response", "context")])
 
 
 @query(
-    "SELECT ord, md5(i) AS instruction, md5(r) AS response, md5(c) AS context FROM (SELECT ord, coalesce(" + _strip("instruction") + ", '') AS i, coalesce(" + _strip("response") + ", '') AS r, coalesce(" + _strip("context") + ", '') AS c FROM pairs) WHERE i <> '' AND r <> ''"
+    "WITH t AS (SELECT ord, CASE WHEN " + _filled("instruction") + " THEN " + _strip("instruction") + " ELSE 'first of ' || ord END AS i, CASE WHEN " + _filled("response") + " THEN " + _strip("response") + " ELSE 'early' END AS r, CASE WHEN " + _filled("context") + " THEN " + _strip("context") + " || chr(10) ELSE '' END || 'be brief' AS c FROM pairs)\n"
+    "SELECT ord, md5(i) AS instruction, md5(r) AS response, md5(c) AS context FROM t"
 )
 def chat_to_pairs(spark, d):
-    turn = lambda role, c: F.struct(F.lit(role).alias("role"), F.col(c).alias("content"))
-    chat = _t(spark, d, "pairs").select("ord", F.array(turn("system", "context"), turn("user", "instruction"), turn("assistant", "response")).alias("messages"))
+    turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    turns = [turn("system", F.col("context")), turn("user", F.concat(F.lit(" first of "), F.col("ord"))), turn("assistant", F.lit("early")), turn("user", F.col("instruction")), turn("tool", F.lit("x")), turn("system", F.lit("be brief\n")), turn("assistant", F.col("response")), turn("user", F.lit(" \n"))]
+    chat = _t(spark, d, "pairs").select("ord", F.array(*turns).alias("messages"), F.lit("never").alias("instruction"))
     return P.normalize(chat, ["ord"]).select("ord", *[F.md5(c).alias(c) for c in ("instruction", "response", "context")])
 
 
@@ -211,8 +214,7 @@ def judge_filter(spark, d):
 
 @query("SELECT ord, CAST(row_number() OVER (ORDER BY score DESC, ord) AS BIGINT) AS rank FROM judge_results WHERE score >= 0.6")
 def judge_rank(spark, d):
-    ranked = B._positions(J.judge_filter(_t(spark, d, "judge_results").withColumnRenamed("score", "judge_score"), 0.6), [F.desc("judge_score"), F.col("ord")])
-    return ranked.select("ord", (F.col("__pos") + 1).alias("rank"))
+    return J.judge_rank(_t(spark, d, "judge_results").withColumnRenamed("score", "judge_score"), 0.6).select("ord", "rank")
 
 
 @query("SELECT source_id, build, ord FROM (SELECT p.source_id, p.build, p.ord, row_number() OVER (PARTITION BY p.source_id, p.build ORDER BY coalesce(j.score, -1) DESC, p.ord) AS k FROM pairs p LEFT JOIN (SELECT pair_ord, max(score) AS score FROM judge_results GROUP BY pair_ord) j ON j.pair_ord = p.ord) WHERE k = 1")
@@ -239,14 +241,6 @@ def cap_running_total(spark, d):
     return G.running_total_cap(_t(spark, d, "documents").select("doc_id", "n_chars"), ["doc_id"], "n_chars", 300_000).select("doc_id")
 
 
-@query()
-def offline_generate(spark, d):
-    from tamis.plans.pipeline import generated
-
-    docs = _t(spark, d, "documents_raw").where("content is not null")
-    return generated(docs, ["go_reviewer", "go_tester"], samples=2, threshold=0.5).select("ord", "role", "instruction", "response", "judge_score")
-
-
 @query(
     "SELECT doc_id, md5(CASE WHEN length(text) <= 400 THEN text ELSE (CASE WHEN length(regexp_extract(substring(text, 1, 400), '(?s)^(.*)\\n', 1)) > 200 THEN regexp_extract(substring(text, 1, 400), '(?s)^(.*)\\n', 1) ELSE substring(text, 1, 400) END) || chr(10) || '... [truncated]' END) AS digest FROM documents WHERE text IS NOT NULL"
 )
@@ -262,17 +256,6 @@ def extract_code(spark, d):
     return _t(spark, d, "pairs").select("ord", V.code_blocks(F.col("response")).alias("b")).select("ord", F.size("b").cast("long").alias("blocks"), F.md5(F.try_element_at("b", F.lit(1))).alias("first"))
 
 
-@query()
-def verify_policy(spark, d):
-    return V.verify(_t(spark, d, "pairs"), available=False, strict=True).groupBy("verified.stage", "verified.status", "verified.passed").agg(F.count("*").alias("rows"))
-
-
-@query()
-def judge_parse(spark, d):
-    raw = _t(spark, d, "judge_results").select("ord", F.concat(F.lit("Verdict:\n```json\n"), F.to_json(F.map_concat(F.coalesce("axes", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))))), F.lit("\n```")).alias("raw"))
-    return raw.select("ord", J.parsed_reply(F.col("raw")).alias("v")).select("ord", "v.score")
-
-
 @query("SELECT count(*) AS generated, count(*) FILTER (verify_status = 'failed') AS verified_dropped, count(*) FILTER (verify_status IS DISTINCT FROM 'failed' AND score < 0.6) AS judged_dropped, count(*) FILTER (verify_status IS DISTINCT FROM 'failed' AND coalesce(score >= 0.6, true)) AS kept FROM pairs p LEFT JOIN (SELECT pair_ord, max(score) AS score FROM judge_results GROUP BY pair_ord) j ON j.pair_ord = p.ord")
 def gate_stats(spark, d):
     j = _t(spark, d, "judge_results").groupBy("pair_ord").agg(F.max("score").alias("score"))
@@ -291,19 +274,22 @@ def sft_records(spark, d):
 @query("SELECT split, count(*) AS records FROM (SELECT CASE WHEN row_number() OVER (ORDER BY sha256('7:' || ord), ord) <= CAST(floor(count(*) OVER () * 0.1::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'train' END AS split FROM pairs WHERE " + _filled("instruction") + " AND " + _filled("response") + ") GROUP BY split")
 def split_sizes(spark, d):
     recs = B.records(_t(spark, d, "pairs"), ["ord"], on_error="drop")
-    return B.split_sizes(B.split(recs, "ord", 0.1, 7, "hash"))
+    return B.split_sizes(B.split(recs, "ord", 0.1, 7))
 
 
 @query("SELECT ord, CASE WHEN row_number() OVER (ORDER BY sha256('7:' || ord), ord) <= CAST(floor(count(*) OVER () * 0.1::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'train' END AS split FROM pairs WHERE " + _filled("instruction") + " AND " + _filled("response"))
 def split_rows(spark, d):
     recs = B.records(_t(spark, d, "pairs"), ["ord"], on_error="drop")
-    return B.split(recs, "ord", 0.1, 7, "hash").select("ord", "split")
+    return B.split(recs, "ord", 0.1, 7).select("ord", "split")
 
 
-@query()
+@query(
+    "WITH r AS (SELECT ord, row_number() OVER (ORDER BY sha256('42:' || ord), ord) - 1 AS p, CAST(floor(count(*) OVER () * 0.1::DOUBLE) AS BIGINT) AS n FROM pairs WHERE " + _filled("instruction") + " AND " + _filled("response") + ")\n"
+    "SELECT ord, CASE WHEN p < n THEN 'validation' ELSE 'train' END AS split, CAST(CASE WHEN p < n THEN p ELSE p - n END AS BIGINT) AS pos FROM r"
+)
 def split_shuffle(spark, d):
     recs = B.records(_t(spark, d, "pairs"), ["ord"], on_error="drop")
-    return B.split(recs, "ord", 0.1, 42, "shuffle").select("ord", "split", "pos")
+    return B.split(recs, "ord", 0.1, 42).select("ord", "split", "pos")
 
 
 @query(
@@ -348,6 +334,9 @@ def code_host_standardize(spark, d):
     return made.select(F.element_at(F.split("id", "\0"), 2).cast("long").alias("ord"), "source", F.element_at(F.split("id", "\0"), 1).alias("id"), F.when(F.col("title").contains("\0"), F.element_at(F.split("title", "\0"), 1)).otherwise(F.col("title")).alias("title"), "license", "fetch_url", F.col("extra.stars").alias("stars"))
 
 
+from tamis import more_queries  # noqa: E402,F401  registers the rest
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The cleaning query with all stages: kept documents."""
     return C.kept(C.clean(_t(spark, d, "documents_raw"), "ord"))

@@ -37,7 +37,7 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").schema(schema).option("rowTag", "entry").load(path).withColumnRenamed("arxiv:primary_category", "primary_category")
 
 
-def atom_records(entries: DataFrame) -> DataFrame:
+def atom_records(entries: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Records of feed entries: the id is the last part of the address, white space in title and
     summary is collapsed, the first link that is a PDF is fetched."""
     s = lambda c: F.coalesce(T.strip(F.col(c)), F.lit(""))
@@ -53,7 +53,7 @@ def atom_records(entries: DataFrame) -> DataFrame:
         updated=s("updated"),
         pdf_url=pdf,
     )
-    return entries.select(F.lit("arxiv").alias("source"), F.element_at(F.split(url, "/"), -1).alias("id"), url.alias("url"), T.collapse(F.coalesce("title", F.lit(""))).alias("title"), F.lit(PAPER_LICENSE).alias("license"), F.coalesce(pdf, url).alias("fetch_url"), extra.alias("extra"))
+    return entries.select(*(keep or []), F.lit("arxiv").alias("source"), F.element_at(F.split(url, "/"), -1).alias("id"), url.alias("url"), T.collapse(F.coalesce("title", F.lit(""))).alias("title"), F.lit(PAPER_LICENSE).alias("license"), F.coalesce(pdf, url).alias("fetch_url"), extra.alias("extra"))
 
 
 def describe(spark: SparkSession, dataset: str, split: str = "train", url: str | None = None) -> DataFrame:
@@ -62,14 +62,19 @@ def describe(spark: SparkSession, dataset: str, split: str = "train", url: str |
     return row
 
 
+def rank_repositories(rows: DataFrame, max_results: int, sort: str = "stars", order: str = "desc") -> DataFrame:
+    """The first payloads as the server ranks them, missing values last, ties by name. The limit is the operator."""
+    col = {"stars": "stargazers_count", "forks": "forks_count", "updated": "updated_at"}[sort]
+    key = F.desc_nulls_last(col) if order == "desc" else F.asc_nulls_last(col)
+    return rows.orderBy(key, "full_name").limit(max(0, max_results))
+
+
 class CodeHostReplay(Source):
     """Saved repository payloads (option ``path``: JSON), ranked as the server would rank them."""
 
     def search(self, query: str, max_results: int = 100, *, sort: str = "stars", order: str = "desc", **kw: object) -> DataFrame:
-        col = {"stars": "stargazers_count", "forks": "forks_count", "updated": "updated_at"}[sort]
         rows = self.spark.read.schema(PAYLOAD).json(str(self.options["path"]))
-        key = F.desc_nulls_last(col) if order == "desc" else F.asc_nulls_last(col)
-        return code_host_records(rows.orderBy(key, "full_name").limit(max(0, max_results)))
+        return code_host_records(rank_repositories(rows, max_results, sort, order))
 
     def search_repositories(self, query: str, max_results: int = 100, **kw: object) -> DataFrame:
         """An older name of :meth:`search`."""
