@@ -190,11 +190,11 @@ def placeholder_chars(prose: str, text: str) -> int:
     """Characters of the sentences that hold an unfilled placeholder, outside lines of code. One of a form that
     other text uses too counts only with a second one, or in a salutation."""
     total, loose = 0, []
-    for x in prose.split("\n"):
-        hits = [m.start() for m in PLACEHOLDER.finditer(x)]
-        if hits and not CODE_LINE.search(PLACEHOLDER.sub("x", x)):
-            total += _sentence(x, hits[0])
-        if not CODE_LINE.search(LOOSE.sub("x", x)):
+    sure, maybe = PLACEHOLDER.search(prose), LOOSE.search(prose)
+    for x in prose.split("\n") if sure or maybe else ():
+        if sure and (m := PLACEHOLDER.search(x)) and not CODE_LINE.search(PLACEHOLDER.sub("x", x)):
+            total += _sentence(x, m.start())
+        if maybe and LOOSE.search(x) and not CODE_LINE.search(LOOSE.sub("x", x)):
             found = [m for m in LOOSE.finditer(x) if f"</{m.group()[1:-1]}>" not in text]
             loose += [(_sentence(x, m.start()), bool(SALUTATION.match(x))) for m in found]
     if len(loose) > 1 or any(greets for _, greets in loose):
@@ -213,9 +213,11 @@ def block_chars(b: str, short: bool) -> int:
             pass
     if is_latin(b) or is_filler(b):
         return len(b)
-    plain = TAG.sub(" ", b)
-    lines = plain.split("\n")
+    plain = TAG.sub(" ", b) if "<" in b else b
     got, strong = coverage(plain)
+    if not got:
+        return 0
+    lines = plain.split("\n")
     if got >= COVERED and (strong or short and STATUS.search(b)) and not any(CODE_LINE.search(x) for x in lines):
         return len(b)
     total = 0
