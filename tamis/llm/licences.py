@@ -24,7 +24,7 @@ from tamis.functions.ids import norm_id, norm_url
 DIFFERENCE, TEXT_DIFFERENCE = 0.2, 0.1
 #: Words of an anchor; a template has this share of its runs in any text within the bound.
 ANCHOR = 3
-#: Lines read at either end of a file for a statement.
+#: Lines at either end of a file in which a comment counts though code stands before or after it.
 HEAD_LINES, TAIL_LINES = 20, 12
 
 #: Spellings of each licence.
@@ -94,7 +94,13 @@ TAGGED = re.compile(r"(?:SPDX-License-Identifier\s*:|@licen[cs]e\b\s*:?|^\s*Lice
 #: Where the name in a statement ends.
 ENDS = re.compile(r"\.(?=\s|$)|,? which\b|,? see\b|,? that\b|,? as\b|,? and (?:comes|ships)\b|,? with(?:out)?\b|,? at (?:your|the)\b|; ", re.I)
 LICENCE_FILE = re.compile(r"^(?:un)?licen[cs]e(?:[._-][\w.-]+)?$|^copying(?:[._-][\w.-]+)?$", re.I)
-COMMENT = re.compile(r"^\s*(?://+!?|/\*+!?|\*+/?|#+!?|--+|;+|%+|<!--|\"\"\"|''')?\s?|\s*(?:\*/|-->|\"\"\"|''')\s*$")
+COMMENT = re.compile(r"^\s*(?://+!?|/\*+!?|\*+/?|#+!?|--+|;+|%+|<!--|\"\"\"|''')?\s?|(?:\*/|-->|\"\"\"|''')\s*$")
+#: What begins a comment, what closes those of several lines, the strings in a line of code up to a
+#: comment's sign, and the lines of code that may stand before a file's first comment.
+MARKED = re.compile(r"\s*(?:(?P<opens>/\*|<!--|\"\"\"|''')|//|\*|#(?!include|define|if|endif|pragma)|--|;|%)")
+CLOSES = {"/*": "*/", "<!--": "-->", '"""': '"""', "'''": "'''"}
+QUOTED = re.compile(r"(?P<triple>\"\"\"|''')|\"(?:\\.?|[^\"\\])*(?:\"|$)|'(?:\\.?|[^'\\])*(?:'|$)|(?P<sign>(?<!\S)(?:#|//))")
+PREAMBLE = re.compile(r"\s*(?:<\?(?:php|xml)\b|<!doctype\b|#\s*(?:ifndef|define|pragma once)\b|package\b|[\"']use strict[\"'])", re.I)
 
 
 def tokens(name: str) -> list[str]:
@@ -256,40 +262,77 @@ def choice(text: str) -> list[str]:
     return sorted(set(found)) if found and all(found) else []
 
 
+def left_open(line: str, at: int) -> str:
+    """The triple quote that a line, code from ``at``, leaves open, if any."""
+    while (m := QUOTED.search(line, at)) and not m["sign"]:
+        at = m.end()
+        if m["triple"]:
+            end = line.find(m["triple"], at)
+            if end < 0:
+                return m["triple"]
+            at = end + 3
+    return ""
+
+
+def unwrapped(block: list[str]) -> str:
+    """Lines of comment without their signs; of successive blank ones the first."""
+    out = [COMMENT.sub("", COMMENT.sub("", x, count=1)).strip() for x in block]
+    return "\n".join(x for i, x in enumerate(out) if x or not i or out[i - 1])
+
+
 def comment_ends(text: str) -> list[str]:
-    """The comment blocks at the start and the end of a file, unwrapped. A text without code
-    marks (a plain notice) counts as a comment."""
-    lines = text.replace("\r\n", "\n").replace("\r", "\n").lstrip("\ufeff").split("\n")
-    marked = re.compile(r"^\s*(//|/\*|\*|#(?!include|define|if|endif|pragma)|--|;|%|<!--|\"\"\"|''')")
-
-    def blocks(part: list[str], within: bool) -> list[str]:
-        out, now, inside = [], [], within
-        for line in part:
-            s = line.strip()
-            opens = bool(re.match(r"/\*|\"\"\"|'''|<!--", s))
-            closes = bool(re.search(r"\*/\s*$|-->\s*$", s)) or (s.endswith(('"""', "'''")) and (not opens or len(s) > 5))
-            if s and (marked.match(line) or inside):
-                now.append(COMMENT.sub("", COMMENT.sub("", line, count=1)).strip() if s else "")
-                inside = (inside or opens) and not closes
-            else:
-                if not s and inside:
-                    now.append("")
-                    continue
-                if now:
-                    out.append("\n".join(now))
-                now = []
-        if now:
-            out.append("\n".join(now))
-        return out
-
-    # Neither border cuts a block.
-    top = min(HEAD_LINES, len(lines))
-    while top < len(lines) and marked.match(lines[top - 1]) and marked.match(lines[top]):
-        top += 1
-    end = max(top, len(lines) - TAIL_LINES)
-    while end > top and marked.match(lines[end - 1]):
-        end -= 1
-    return blocks(lines[:top], False) + blocks(lines[end:], False)
+    """The comment blocks at the start and the end of a file, whole and unwrapped.
+
+    At the start are all that stand before any code or begin in the first HEAD_LINES lines, at the end all that stand
+    after any code or end in the last TAIL_LINES lines, however long they are. Opening lines (PREAMBLE) are no code.
+    A comment there that is never closed reaches to the end of the text.
+    """
+    text = text.replace("\r\n", "\n").replace("\r", "\n").lstrip("\ufeff")
+    lines = text.split("\n")
+    shuts = {c: text.count("\n", 0, p) if (p := text.rfind(c)) >= 0 else -1 for c in set(CLOSES.values())}
+    blocks: list[tuple[int, int, list[str]]] = []
+    now: list[str] = []
+    began, first_code, last_code = 0, len(lines), -1
+    # What closes the comment, or the string of code, in which a line begins.
+    shut, string = "", False
+    for at, line in enumerate(lines):
+        s, pos, said, code = line.strip(), 0, [], string
+        if shut and not string and not s:
+            said.append("")
+        while pos < len(s):
+            skip = pos
+            if not shut:
+                if not (m := MARKED.match(s, pos)):
+                    code = True
+                    if (shuts['"""'] > at or shuts["'''"] > at) and (quote := left_open(s, pos)) and shuts[quote] > at:
+                        shut, string = quote, True
+                    break
+                skip, shut = m.end(), CLOSES.get(m["opens"], "")
+                if not shut or not (shuts[shut] > at or s.find(shut, skip) >= 0 or at < max(first_code, HEAD_LINES) or at >= len(lines) - TAIL_LINES):
+                    shut = ""
+                    said.append(s[pos:])
+                    break
+            end = s.find(shut, skip)
+            stop = end + len(shut) if end >= 0 else len(s)
+            if not string:
+                said.append(s[pos:stop])
+            if end >= 0:
+                shut, string = "", False
+            pos = stop
+        if said:
+            began = began if now else at
+            now += said
+        if code:
+            last_code = at
+            if first_code > at and not PREAMBLE.match(line):
+                first_code = at
+        if now and (code or not said):
+            blocks.append((began, at if said else at - 1, now))
+            now = []
+    if now:
+        blocks.append((began, len(lines) - 1, now))
+    first, last = max(first_code, HEAD_LINES - 1), min(last_code, len(lines) - TAIL_LINES)
+    return [unwrapped(b) for began, ended, b in blocks if began <= first or ended >= last]
 
 
 def statements(block: str) -> list[str]:
